@@ -417,7 +417,7 @@ def derived_product_flags(spark, path):
 @query(
     "business_exclusions",
     _FLAG_CTE
-    + """SELECT * FROM (SELECT *, CASE WHEN class = 1 THEN NULL ELSE year(relevant_date) - 1996 END AS company_age,
+    + """SELECT * FROM (SELECT *, CASE WHEN class = 1 THEN NULL ELSE CAST(year(relevant_date) - 1996 AS INTEGER) END AS company_age,
          qoe_score - 3 AS seniority, top_subscription AS sales_business_unit FROM derived)
        WHERE sales_business_unit <> 'FURNITURE' AND top_subscription IS NOT NULL AND top_subscription <> '' AND NOT (class = 0 AND product LIKE '%mid%')
        AND (company_age IS NULL OR company_age >= 0) AND (seniority > 0 OR seniority IS NULL) AND (previous_product IS NULL OR previous_product <> 'Pure Upsell')
