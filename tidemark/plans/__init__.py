@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("block_queries", "cohort_queries", "prep_queries", "evaluate_queries")
+MODULES = ("source_queries", "block_queries", "cohort_queries", "prep_queries", "evaluate_queries", "model_queries")
 
 
 def load_all() -> None:

@@ -175,9 +175,10 @@ def cluster_profile(spark, path):
 # ---------------------------------------------------------------- explanations
 
 # fixed values: weights of the linear scorer the explanation queries describe
-COEF = {"quantity": 0.04, "price": -0.00002, "discount": 9.0, "tax": -6.0, "line": 0.1, "size": -0.02}
-_X = """SELECT l_orderkey * 10 + l_linenumber AS lead, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS class, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount,
-  l_tax AS tax, CAST(l_linenumber AS DOUBLE) AS line, CAST(p_size AS DOUBLE) AS size FROM lineitem JOIN part ON l_partkey = p_partkey"""
+COEF = {"quantity": 0.004, "price": -0.000002, "discount": 0.7, "tax": -0.6, "line": 0.03, "size": -0.002}
+_X = """SELECT o_orderkey AS lead, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS class, quantity, o_totalprice AS price, discount, tax, line, size FROM orders
+  JOIN (SELECT l_orderkey, sum(l_quantity) AS quantity, round(sum(l_discount), 2) AS discount, round(sum(l_tax), 2) AS tax, CAST(count(*) AS DOUBLE) AS line, CAST(max(l_suppkey) AS DOUBLE) AS size
+        FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey"""
 _CON = "SELECT lead, " + ", ".join(f"CAST({k} AS DOUBLE) * ({c} - avg({c}) OVER ()) AS {c}" for c, k in COEF.items()) + " FROM x"
 _EXPLAIN = f"""WITH x AS ({_X}), con AS ({_CON}), long AS (SELECT lead, feature, round(c, 9) AS contribution FROM (UNPIVOT con ON {', '.join(COEF)} INTO NAME feature VALUE c)),
   pred AS (SELECT x.lead, class, CASE WHEN s > 0.1 THEN 1 ELSE 0 END AS class_pred FROM x JOIN (SELECT lead, round(sum(contribution), 6) AS s FROM long GROUP BY 1) t ON x.lead = t.lead)
@@ -185,16 +186,23 @@ _EXPLAIN = f"""WITH x AS ({_X}), con AS ({_CON}), long AS (SELECT lead, feature,
 
 
 def _x(r):
-    li, p = r.table("lineitem"), r.table("part")
-    return li.join(p, li["l_partkey"] == p["p_partkey"]).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lead"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("class"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
-        F.col("l_linenumber").cast("double").alias("line"),
-        F.col("p_size").cast("double").alias("size"),
+    o = r.table("orders")
+    lines = r.table("lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.round(F.sum("l_discount"), 2).alias("discount"),
+        F.round(F.sum("l_tax"), 2).alias("tax"),
+        F.count(F.lit(1)).cast("double").alias("line"),
+        F.max("l_suppkey").cast("double").alias("size"),
+    )
+    return o.join(lines, o["o_orderkey"] == lines["l_orderkey"]).select(
+        F.col("o_orderkey").alias("lead"),
+        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("class"),
+        "quantity",
+        F.col("o_totalprice").alias("price"),
+        "discount",
+        "tax",
+        "line",
+        "size",
     )
 
 
@@ -220,11 +228,11 @@ def _pred(x):
 
 @query(
     "linear_contributions",
-    _EXPLAIN + "SELECT lead, " + ", ".join(f"round({c}, 6) AS {c}" for c in COEF) + " FROM con",
+    _EXPLAIN + "SELECT lead, " + ", ".join(f"round({c}, 8) AS {c}" for c in COEF) + " FROM con",
 )
 def linear_contributions(spark, path):
     wide = ev.linear_contributions(_x(Roles(spark, path)), list(COEF), COEF).drop("class")
-    return rounded(wide, list(COEF))
+    return rounded(wide, list(COEF), 8)
 
 
 @query(

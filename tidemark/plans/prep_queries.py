@@ -443,10 +443,13 @@ def artifact_path_parts(spark, path):
 
 
 _FILES = """SELECT CAST(l_shipdate AS DATE) AS date, CASE p_name WHEN 'red bolt' THEN 'release bolt' WHEN 'blue ring' THEN 'snapshot ring' WHEN 'small gear' THEN '' ELSE p_name END AS module_name,
-  'f' || l_suppkey AS file_name, CASE WHEN l_discount > 0.09 THEN 'xml' ELSE 'jar' END AS file_type, floor(l_quantity / 10) AS version_num_value, l_orderkey, l_linenumber
+  'f' || l_suppkey AS file_name, CASE WHEN l_discount > 0.09 THEN 'xml' ELSE 'jar' END AS file_type, floor(l_quantity / 10) AS version_num_value, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
   FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
+_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+
+
 def _files(r):
     li, p = r.table("lineitem"), r.table("part")
     name = (
@@ -461,13 +464,12 @@ def _files(r):
         F.concat(F.lit("f"), F.col("l_suppkey").cast("string")).alias("file_name"),
         F.when(F.col("l_discount") > 0.09, "xml").otherwise("jar").alias("file_type"),
         F.floor(F.col("l_quantity") / 10).cast("double").alias("version_num_value"),
-        "l_orderkey",
-        "l_linenumber",
+        *_TIE,
     )
 
 
 _WEEKLY = f"""WITH files AS ({_FILES}),
-  num AS (SELECT *, row_number() OVER (ORDER BY module_name, date, l_orderkey, l_linenumber) AS pos, lag(version_num_value) OVER (PARTITION BY module_name ORDER BY date, l_orderkey, l_linenumber) AS prev FROM files),
+  num AS (SELECT *, row_number() OVER (ORDER BY module_name, date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS pos, lag(version_num_value) OVER (PARTITION BY module_name ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS prev FROM files),
   seen AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY module_name, file_name ORDER BY pos) = 1 THEN 1 ELSE 0 END AS fresh FROM num),
   run AS (SELECT *, sum(fresh) OVER (PARTITION BY module_name ORDER BY pos) AS so_far, CAST(floor((day(date) - 1) / 7) AS INTEGER) + 1 AS week_num FROM seen),
   good AS (SELECT *, row_number() OVER (PARTITION BY module_name, week_num ORDER BY pos) AS k FROM run WHERE pos > 1 AND module_name <> '' AND day(date) <= 28 AND file_type <> 'xml'),
@@ -480,7 +482,7 @@ _WEEKLY = f"""WITH files AS ({_FILES}),
 
 @query("weekly_version_activity", _WEEKLY + "SELECT * FROM weekly")
 def weekly_version_activity(spark, path):
-    return versions.weekly_versions(_files(Roles(spark, path)), ["l_orderkey", "l_linenumber"])
+    return versions.weekly_versions(_files(Roles(spark, path)), _TIE)
 
 
 @query(
@@ -490,7 +492,7 @@ def weekly_version_activity(spark, path):
          round(avg(is_snapshot), 6) AS is_snapshot_avg, round(avg(files_per_module), 6) AS files_per_module_avg FROM weekly GROUP BY 1""",
 )
 def module_averages(spark, path):
-    out = versions.module_averages(versions.weekly_versions(_files(Roles(spark, path)), ["l_orderkey", "l_linenumber"]))
+    out = versions.module_averages(versions.weekly_versions(_files(Roles(spark, path)), _TIE))
     return rounded(out, [c for c in out.columns if c != "module_name"])
 
 

@@ -33,15 +33,18 @@ def suffix_duplicates(names: Sequence[str]) -> list[str]:
     return out
 
 
+# one text form for times without a zone, in both directions
+_CSV = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     """Directory of delimited part files with a header; duplicate names get suffixes."""
-    df.toDF(*suffix_duplicates(df.columns)).write.mode("overwrite").csv(
-        path, sep=sep, header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS"
-    )
+    named = df.toDF(*suffix_duplicates(df.columns))
+    named.write.mode("overwrite").format("csv").options(sep=sep, **_CSV).save(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ";") -> DataFrame:
-    return spark.read.csv(path, schema=schema, sep=sep, header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return spark.read.format("csv").options(sep=sep, **_CSV).schema(schema).load(path)
 
 
 def run_stage(df: DataFrame, step: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
