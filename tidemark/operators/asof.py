@@ -372,15 +372,22 @@ def widen_periods(
     ref: str = REF,
 ) -> DataFrame:
     """One row per (key, ref), columns `<col>` for the first window and `<col>__<label>`
-    for the others: the five period-filtered self-joins as a single grouping."""
-    out = []
-    for i, p in enumerate(periods):
-        here = F.col("period") == p.label
-        for c in cols:
-            out.append(F.max(F.when(here, F.col(c))).alias(c if i == 0 else f"{c}__{p.label}"))
+    for the others: the five period-filtered self-joins as a single grouping.
+
+    Each period's columns travel as one struct (a key has one row per period, so max
+    just picks it): five aggregates instead of periods x columns, whose generated
+    code would be too large to be compiled. The sort-based result is already
+    ordered by (key, ref) for the joins that follow.
+    """
+    packed = F.struct(*cols)
+    picks = [F.max(F.when(F.col("period") == p.label, packed)).alias(f"p{i}__") for i, p in enumerate(periods)]
+    out = [
+        F.col(f"p{i}__.{c}").alias(c if i == 0 else f"{c}__{p.label}") for i, p in enumerate(periods) for c in cols
+    ]
     if flag:
-        out.append(F.count(F.when(F.col("period").isin([p.label for p in periods]), 1)).alias(flag))
-    return block.groupBy(key, ref).agg(*out)
+        picks.append(F.count(F.when(F.col("period").isin([p.label for p in periods]), 1)).alias(flag))
+        out.append(F.col(flag))
+    return block.groupBy(key, ref).agg(*picks).select(key, ref, *out)
 
 
 def over_time(

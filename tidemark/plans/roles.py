@@ -22,9 +22,13 @@ AS_OF = "2001-08-01"
 class Roles:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return load_tables(self.spark, self.path, [name])[name]
+        """Each table is opened once per query: a second read would list its files again."""
+        if name not in self._tables:
+            self._tables.update(load_tables(self.spark, self.path, [name]))
+        return self._tables[name]
 
     # ---- populations
     def pop(self) -> DataFrame:
