@@ -37,14 +37,18 @@ def support_cases(pop: DataFrame, movements: DataFrame, cases: DataFrame, parame
 
     movements: case_id, parameter_id, movement_date. cases: case_id, account_id.
     """
-    fact = movements.where(F.col("parameter_id") == parameter).join(cases, "case_id")
+    # a case moves many times a day: one row per case and day before the join
+    moved = movements.where(F.col("parameter_id") == parameter).select(
+        "case_id", day_floor(F.col("movement_date")).alias("movement_date")
+    ).distinct()
+    fact = moved.join(cases, "case_id")
     ref = F.col(REF)
     # the window opens on the month's first day, the 12-month count on the exact day
     in_year = F.col("first__") >= F.add_months(ref, -12)
     in_quarter = F.col("first__") >= F.add_months(ref, -3)
     return asof_aggregate(
         pop,
-        fact.withColumn("movement_date", day_floor(F.col("movement_date"))),
+        fact,
         "movement_date",
         {
             "cases_within_last_year": asof.distinct(late=in_year),
@@ -391,8 +395,8 @@ def qoe_exact(pop: DataFrame, scores: DataFrame) -> DataFrame:
 
 def cloud_subscription(pop: DataFrame, people: DataFrame, servers: DataFrame, trial: str) -> DataFrame:
     """Flag: some contact owned a non-trial server by the date."""
-    real = servers.where(F.col("server_type") != trial).select("owner_email", "created")
-    # only the first creation per account matters for a flag
+    # only an owner's first server matters for a flag
+    real = servers.where(F.col("server_type") != trial).groupBy("owner_email").agg(F.min("created").alias("created"))
     fact = people.join(real, people["email"] == real["owner_email"]).select(KEY, "created")
     return asof_running(pop, fact, F.col("created"), {"n": asof.count()}).select(
         KEY, REF, F.lit(1).alias("have_cloud_subscription")
@@ -465,7 +469,7 @@ def firmographics(
     People are reduced to one row per (account, e-mail) and per (account, id)
     before counting, so distinct counts need no per-condition expansion.
     """
-    rows = people.join(contact_map.select("person_id", KEY), "person_id").join(accounts.select(KEY), KEY)
+    rows = people.join(contact_map.select("person_id", KEY), "person_id")
     name, cond = any_role
     by_mail = rows.groupBy(KEY, "email").agg(
         *[F.max(src).alias(dst) for dst, src in tops.items()],
@@ -477,7 +481,9 @@ def firmographics(
         *[F.count(F.when((F.col(n) == 1) & F.col("email").isNotNull(), 1)).alias(n) for n in roles],
     )
     by_id = rows.where(cond).select(KEY, "person_id").distinct().groupBy(KEY).agg(F.count("person_id").alias(name))
-    return mail.join(by_id, KEY, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    # accounts only select, so they meet one row per account instead of all people
+    known = mail.join(accounts.select(KEY), KEY, "left_semi")
+    return known.join(by_id, KEY, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
 def company_profile(ids: DataFrame, attributes: DataFrame, industry: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import months_between_boundaries
 from ..functions.numeric import hash_fraction
 from .asof import KEY, REF, asof_running, largest
+from .skew import spread_join
 
 
 def contract_history(
@@ -23,11 +24,13 @@ def contract_history(
     as_of: str,
     cloud_unit: str,
     keep_open_wins: bool = True,
+    row_id: str = "event_id",
 ) -> DataFrame:
     """Closed, won (or undecided) contract events with products, account and parent.
 
     First and last event month come from a grouped aggregate joined back, not from
-    a window: the aggregate combines map-side and the join can split a busy account.
+    a window: the aggregate combines map-side, and everything known per account is
+    joined in one go over salted keys, so a busy account is worked on by many tasks.
     """
     won = F.col("iswon") == "true"
     if keep_open_wins:
@@ -49,8 +52,7 @@ def contract_history(
         kept.withColumn("pure_upsell_flag", pure)
         .join(old, "product_id", "left")
         .join(new, "product_renewal_id", "left")
-        .join(span, KEY)
-        .join(who, KEY, "left")
+        .transform(lambda d: spread_join(d, span.join(who, KEY, "left"), KEY, row_id))
         .drop("product_id", "product_renewal_id", "net_new_arr", "event_type", "isclosed", "iswon")
     )
 
@@ -116,16 +118,16 @@ def random_reference_month(
     else:
         u, pick = F.rand(seed), F.rand(seed + 1)
     since = accounts.select(KEY, F.add_months("customer_since", 4).alias("c4"))
-    first = F.col("first_event_month")
+    # one draw per account is kept before anything is joined
+    kept = history.select(KEY, "first_event_month", u.alias("u"), pick.alias("pick")).groupBy(KEY).agg(
+        F.min_by("u", "pick").alias("u"), F.min("first_event_month").alias("first")
+    )
+    first = F.col("first")
     lo = F.when(F.col("c4").isNull(), F.add_months(first, 4)).when(F.col("c4") < first, first).otherwise(F.col("c4"))
     hi = F.add_months(F.lit(as_of).cast("date"), -3)
-    # a draw in whole seconds, as the span is a number of days
-    drawn = history.join(since, KEY, "left").select(
-        KEY,
-        pick.alias("pick"),
-        F.struct(F.trunc(F.date_add(lo, F.floor(u * F.datediff(hi, lo)).cast("int")), "month").alias("m")).alias("draw"),
-    )
-    return drawn.groupBy(KEY).agg(F.min_by("draw", "pick").alias("d")).select(KEY, F.col("d.m").alias(REF))
+    # whole days, as the result is a month
+    day = F.date_add(lo, F.floor(F.col("u") * F.datediff(hi, lo)).cast("int"))
+    return kept.join(since, KEY, "left").select(KEY, F.trunc(day, "month").alias(REF))
 
 
 def assign_reference(history: DataFrame, upsell: DataFrame, drawn: DataFrame, as_of: str) -> DataFrame:
@@ -260,17 +262,17 @@ def consolidate_wins(df: DataFrame, numeric: Sequence[str], mode: str = "colmin"
     mode "colmin" takes each numeric column's minimum over the won rows; "earliest"
     the won row of the earliest date. Others: the row with the smallest hash.
     """
-    flagged = df.join(df.groupBy(KEY).agg((F.sum("class") > 0).alias("has_won")), KEY)
-    won = flagged.where("has_won and class = 1")
+    won = F.col("class") == 1
+    row = F.struct(*[F.col(c) for c in numeric])
+    draw = F.sha1(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string")))
+    # both outcomes from one aggregation: no join of an account's rows with its flag
     if mode == "colmin":
-        kept = won.groupBy(KEY).agg(*[F.min(c).alias(c) for c in numeric])
+        best = [F.min(F.when(won, F.col(c))).alias(f"w__{c}") for c in numeric]
     else:
-        row = F.struct(*[F.col(c) for c in numeric])
-        kept = won.groupBy(KEY).agg(F.min_by(row, F.struct(REF, row_id)).alias("r")).select(KEY, "r.*")
-    draw = F.sha1(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string")))
-    row = F.struct(*[F.col(c) for c in numeric])
-    lost = flagged.where("not has_won").groupBy(KEY).agg(F.min_by(row, draw).alias("r")).select(KEY, "r.*")
-    return kept.unionByName(lost)
+        pick = F.min_by(row, F.when(won, F.struct(REF, row_id)))
+        best = [pick.getField(c).alias(f"w__{c}") for c in numeric]
+    per = df.groupBy(KEY).agg((F.sum("class") > 0).alias("won__"), F.min_by(row, draw).alias("l__"), *best)
+    return per.select(KEY, *[F.when(F.col("won__"), F.col(f"w__{c}")).otherwise(F.col(f"l__.{c}")).alias(c) for c in numeric])
 
 
 def latest_per_account(df: DataFrame) -> DataFrame:

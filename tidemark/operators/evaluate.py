@@ -185,7 +185,7 @@ def cluster_profile(df: DataFrame, cols: Sequence[str], group: str, min_members:
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > min_members)
     long = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot([group], list(cols), "feature", "value")
-    med = exact_quantiles(long, [group, "feature"], "value", {"median": 0.5}).drop("n")
+    med = exact_quantiles(long, [group, "feature"], "value", {"median": 0.5}, few=False).drop("n")
     return med.join(sizes, group)
 
 

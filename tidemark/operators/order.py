@@ -1,9 +1,10 @@
 """Order statistics without a global sort in one task.
 
 A running total over all rows of a frame would put them in a single partition.
-Here rows are first reduced to one per distinct value, then cut into value
-buckets at approximate quantiles; totals per bucket (a handful of rows) give each
-bucket its starting offset, and the exact running sum happens within buckets.
+Here rows are first reduced to one per distinct value. A group with more than
+LARGE_GROUP of them is cut into value buckets at approximate quantiles; totals per
+bucket (a handful of rows) give each bucket its starting offset, and the exact
+running sum happens within buckets. Smaller groups are one bucket each.
 """
 
 from __future__ import annotations
@@ -12,48 +13,77 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+MIN_BUCKETS, MAX_BUCKETS = 32, 1024
+LARGE_GROUP = 200_000
+
+
+def bucket_count(df: DataFrame, few: bool) -> int:
+    """As many value buckets as the session has shuffle partitions (a power of two);
+    with many groups each one is small and gets the fewest."""
+    if not few:
+        return MIN_BUCKETS
+    want = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = MIN_BUCKETS
+    while n < min(want, MAX_BUCKETS):
+        n *= 2
+    return n
+
+
+def bucket_of(value: Column, edges: Column, n: int) -> Column:
+    """How many of the n - 1 sorted edges lie below the value, by halving."""
+    steps = [n >> i for i in range(1, n.bit_length())]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, s: at + F.when(F.coalesce(F.get(edges, at + s - 1) < value, F.lit(False)), s).otherwise(0),
+    )
 
 
 def running_totals(
-    df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], descending: bool = False
+    df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], descending: bool = False, few: bool = True
 ) -> DataFrame:
     """Add `<c>__cum` for each c in `sums`: the total up to and including the row.
 
-    One row per (by, order). `by` takes few values (features, clusters, folds): the
-    bucket edges are BUCKETS numbers per group, which bounds what is joined back.
+    One row per (by, order). `few` says that `by` takes few values by nature
+    (features, folds): then edges and offsets, at most MAX_BUCKETS numbers per group,
+    are broadcast. Otherwise (clusters) the join is left to their actual size.
     """
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
+    n = bucket_count(df, few)
+    small = F.broadcast if few else (lambda d: d)
+    cuts = F.array(*[F.lit(i / n) for i in range(1, n)])
     g = list(by) or ["all__"]
     src = df if by else df.withColumn("all__", F.lit(0))
-    edges = src.groupBy(*g).agg(F.percentile_approx(order, F.array(*[F.lit(c) for c in cuts]), F.lit(2000)).alias("edges__"))
-    cut = src.join(F.broadcast(edges), g).withColumn(
-        "b__", F.size(F.filter("edges__", lambda e: e < F.col(order)))
-    ).drop("edges__")
+    large = src.groupBy(*g).agg(F.count(F.lit(1)).alias("c__")).where(F.col("c__") > LARGE_GROUP).drop("c__")
+    edges = (
+        src.join(small(large), g, "left_semi").groupBy(*g).agg(F.percentile_approx(order, cuts, F.lit(10 * n)).alias("edges__"))
+    )
+    at = F.when(F.col("edges__").isNotNull(), bucket_of(F.col(order), F.col("edges__"), n)).otherwise(F.lit(-1))
+    cut = src.join(small(edges), g, "left").withColumn("b__", at).drop("edges__")
     lead = F.desc("b__") if descending else F.asc("b__")
-    earlier = Window.partitionBy(*g).orderBy(lead).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*g).orderBy(lead).rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
     offsets = (
-        cut.groupBy(*g, "b__")
+        cut.where("b__ >= 0")
+        .groupBy(*g, "b__")
         .agg(*[F.sum(c).alias(f"{c}__t") for c in sums])
         .select(*g, "b__", *[F.coalesce(F.sum(f"{c}__t").over(earlier), F.lit(0)).alias(f"{c}__o") for c in sums])
     )
     row = F.desc(order) if descending else F.asc(order)
     within = Window.partitionBy(*g, "b__").orderBy(row).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = cut.join(F.broadcast(offsets), [*g, "b__"]).select(
+    out = cut.join(small(offsets), [*g, "b__"], "left").select(
         *[c for c in cut.columns if c not in ("b__", "all__")],
-        *[(F.sum(c).over(within) + F.col(f"{c}__o")).alias(f"{c}__cum") for c in sums],
+        *[(F.sum(c).over(within) + F.coalesce(F.col(f"{c}__o"), F.lit(0))).alias(f"{c}__cum") for c in sums],
     )
     return out
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Mapping[str, float], few: bool = True) -> DataFrame:
     """Linear-interpolated quantiles per group, plus the count `n`; nulls are skipped."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(counts, by, value, ["n"])
+    cum = running_totals(counts, by, value, ["n"], few=few)
     g = list(by) or ["all__"]
     src = cum if by else cum.withColumn("all__", F.lit(0))
     totals = src.groupBy(*g).agg(F.max("n__cum").alias("total__"))
-    src = src.join(F.broadcast(totals), g)
+    src = src.join(F.broadcast(totals) if few else totals, g)
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("n__cum") > rank, F.col(value)))

@@ -85,16 +85,22 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
         F.sum("snap").alias("is_snapshot"),
         F.max("o__").alias("upto__"),
     )
-    # files seen by the week's last row: each file once, against at most five weeks
+    # files seen by the week's last row: whole days before it as daily counts (bounded
+    # by the calendar), and the files of that one day
     debut = base.groupBy("module_name", "file_name").agg(F.min("o__").alias("first__"))
-    files = (
-        weeks.select("module_name", "week_num", "upto__")
-        .join(debut, "module_name")
+    debut = debut.select("module_name", F.col("first__.date").alias("day__"), "first__")
+    ends = weeks.select("module_name", "week_num", "upto__", F.col("upto__.date").alias("end__"))
+    daily = debut.groupBy("module_name", "day__").agg(F.count(F.lit(1)).alias("n"))
+    before = ends.join(daily, "module_name").where("day__ < end__").select("module_name", "week_num", "n")
+    on_day = (
+        ends.join(debut.withColumnRenamed("day__", "end__"), ["module_name", "end__"])
         .where(F.col("first__") <= F.col("upto__"))
-        .groupBy("module_name", "week_num")
-        .agg(F.count(F.lit(1)).alias("files_per_module"))
+        .select("module_name", "week_num", F.lit(1).cast("bigint").alias("n"))
+    )
+    files = before.unionByName(on_day).groupBy("module_name", "week_num").agg(F.sum("n").alias("files_per_module"))
+    return weeks.drop("upto__").join(files, ["module_name", "week_num"], "left").withColumn(
+        "files_per_module", F.coalesce("files_per_module", F.lit(0))
     )
-    return weeks.drop("upto__").join(files, ["module_name", "week_num"])
 
 
 def module_averages(weekly: DataFrame) -> DataFrame:
