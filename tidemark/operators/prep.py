@@ -80,6 +80,19 @@ def growth_pair(df: DataFrame, feature: str, scheme: str = "monthly", normalize:
     return df.select("*", *out)
 
 
+def usage_features(df: DataFrame, tech: Sequence[str], usage: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
+    """From the filled matrix to model input: technology counts, growth of every usage
+    column, size ratios; earlier windows and the listed columns are dropped."""
+    out = growth(tech_counts(df, tech), [*usage, "n_tech", "n_repos"])
+    lagged = [lag for lag in LAGS if lag]
+    out = out.select(*[c for c in out.columns if not any(c.endswith(lag) for lag in lagged) and c not in drop])
+    return out.select(
+        "*",
+        num.safe_ratio(F.col("artifacts_size"), F.col("binaries_size")).alias("artifacts/binaries_size"),
+        num.safe_ratio(F.col("artifacts_count"), F.col("binaries_count")).alias("artifacts/binaries_count"),
+    )
+
+
 def variance_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: population std (numbers) and whether it varies at all.
 

@@ -14,16 +14,14 @@ _SCORED = cte("scored")
 
 @query(
     "category_class_share",
-    """WITH t AS (SELECT o_custkey % 400 AS c, o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS class FROM orders)
-       SELECT CAST(c AS VARCHAR) || ': ' || total AS c, class, round(100.0 * CAST(count(*) AS DOUBLE) / total, 6) AS percentage
-       FROM (SELECT *, count(*) OVER (PARTITION BY c) AS total FROM t) WHERE total >= 38 GROUP BY t.c, class, total"""
-    .replace("FROM (SELECT *, count(*) OVER (PARTITION BY c) AS total FROM t) WHERE", "FROM (SELECT *, count(*) OVER (PARTITION BY c) AS total FROM t) t WHERE"),
+    """WITH t AS (SELECT o_custkey AS c, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS class FROM orders), n AS (SELECT *, count(*) OVER (PARTITION BY c) AS total FROM t)
+       SELECT CAST(n.c AS VARCHAR) || ': ' || total AS c, class, round(100.0::DOUBLE * count(*) / total, 6) AS percentage FROM n WHERE total >= 12 GROUP BY n.c, class, total""",
 )
 def category_class_share(spark, path):
     df = Roles(spark, path).table("orders").select(
-        (F.col("o_custkey") % 400).alias("c"), F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("class")
+        F.col("o_custkey").alias("c"), F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("class")
     )
-    return rounded(ev.class_share(df, "c", "class", 38), ["percentage"])
+    return rounded(ev.class_share(df, "c", "class", 12), ["percentage"])
 
 
 _IMP = "SELECT p_name AS feature, l_linenumber AS fold, avg(l_quantity) AS importance FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"

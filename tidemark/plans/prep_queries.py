@@ -363,7 +363,7 @@ def trial_usage_features(spark, path):
     """SELECT c_custkey, CASE WHEN regexp_full_match(u, '[0-9]+') OR u LIKE '%tests%' THEN 0 WHEN is_general <> 0 THEN 1 ELSE coalesce(is_valid, 0) END AS domain_is_valid FROM
        (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 7 = 0 THEN 'tests' || c_custkey ELSE lower(c_name) END AS u,
         CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS is_general, 'd' || c_nationkey AS domain FROM customer) c
-       LEFT JOIN (SELECT 'd' || s_nationkey AS domain, max(CASE WHEN s_acctbal > 5000 THEN 1 ELSE 0 END) AS is_valid FROM supplier WHERE s_nationkey < 15 GROUP BY 1) d ON c.domain = d.domain""",
+       LEFT JOIN (SELECT 'd' || s_nationkey AS domain, max(CASE WHEN s_acctbal > 7000 THEN 1 ELSE 0 END) AS is_valid FROM supplier WHERE s_acctbal > 5000 GROUP BY 1) d ON c.domain = d.domain""",
 )
 def domain_validity(spark, path):
     r = Roles(spark, path)
@@ -379,9 +379,9 @@ def domain_validity(spark, path):
         F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0).alias("is_general"),
         F.concat(F.lit("d"), F.col("c_nationkey").cast("string")).alias("domain"),
     )
-    known = r.table("supplier").where("s_nationkey < 15").select(
+    known = r.table("supplier").where("s_acctbal > 5000").select(
         F.concat(F.lit("d"), F.col("s_nationkey").cast("string")).alias("domain"),
-        F.when(F.col("s_acctbal") > 5000, 1).otherwise(0).alias("is_valid"),
+        F.when(F.col("s_acctbal") > 7000, 1).otherwise(0).alias("is_valid"),
     )
     return leads.domain_validity(df, known).select("c_custkey", "domain_is_valid")
 
