@@ -108,6 +108,8 @@ def cross_validate(
     The folded, assembled frame is kept (memory and disk) for the k fits. Only
     importances (features x folds) reach the driver.
     """
+    # ranking and weighting pass over the input several times: compute it once
+    df = df.select(*key, label, *features).persist()
     base = folds(df, label, key, k, 1, seed)
     base = class_weights(base, label) if balanced else base.withColumn("weight", F.lit(1.0))
     base = assemble_vector(base, features).select(*key, label, "weight", "fold_0", "features").persist()
@@ -172,7 +174,7 @@ class Stack:
         return [m.fit(assemble_vector(df, f)) for m, f in zip(self.models, self.feature_sets)]
 
     def fit(self, df: DataFrame, key: Sequence[str]) -> "Stack":
-        base = class_weights(df, self.label).persist()
+        base = class_weights(df.persist(), self.label).persist()
         self.fitted = self._fit_bases(base)
         if self.out_of_fold is None:
             held = self._add(base, self.fitted)
@@ -223,6 +225,7 @@ def random_search(
     rng = random.Random(seed)
     sets = [{name: draw(rng) for name, draw in space.items()} for _ in range(n)]
     maps = [{est.getParam(name): v for name, v in s.items()} for s in sets]
+    df = df.select(*key, label, *features).persist()
     base = class_weights(folds(df, label, key, k, 1, seed), label)
     base = assemble_vector(base, features).select(label, "weight", "features", F.col("fold_0").alias("fold")).persist()
     judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
@@ -231,6 +234,7 @@ def random_search(
     ).fit(base)
     rows = [(i, repr(sorted(s.items())), float(m)) for i, (s, m) in enumerate(zip(sets, cv.avgMetrics))]
     base.unpersist()
+    df.unpersist()
     return cv.bestModel, df.sparkSession.createDataFrame(rows, "candidate int, params string, score double")
 
 
