@@ -70,6 +70,10 @@ SCORING_REASONS = (
 )
 
 
+# more columns than this are an error, not cut off
+MAX_COLUMNS = 2000
+
+
 def frequent_activities(df: DataFrame, min_count: int, allowed: Sequence[str] | None, reason: str = "reason") -> list[str]:
     """Activity names seen more than `min_count` times, 'score' left out, most frequent first.
 
@@ -80,8 +84,11 @@ def frequent_activities(df: DataFrame, min_count: int, allowed: Sequence[str] |
     seen = df.select(name.alias("a")).where("a <> 'score'")
     if allowed is not None:
         seen = seen.where(F.col("a").isin(list(allowed)))
-    top = seen.groupBy("a").count().where(F.col("count") > min_count).orderBy(F.desc("count"), "a")
-    return [r["a"] for r in top.collect()]
+    often = seen.groupBy("a").count().where(F.col("count") > min_count)
+    top = often.orderBy(F.desc("count"), "a").limit(MAX_COLUMNS + 1).collect()
+    if len(top) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} activities would become columns; pass a closed list or a higher count")
+    return [r["a"] for r in top]
 
 
 def activity_pivot(

@@ -694,20 +694,27 @@ def _visits_sql(kind: str, name: str) -> str:
     return (
         cte("pop_touch")
         + f"""SELECT p.account_id, p.relevant_date, count(DISTINCT v) AS {name} FROM
-       (SELECT user_id AS account_id, make_timestamp(CAST(left(CAST(epoch_ms(ts) AS VARCHAR), 10) AS BIGINT) * 1000000) AS v FROM events WHERE event_type {kind} 'view') e
+       (SELECT user_id AS account_id, make_timestamp(CAST(left(CAST(epoch_ms(ts) AS VARCHAR), 10) AS BIGINT) * 1000000) AS v FROM events WHERE event_type {kind}) e
        JOIN pop_touch p USING (account_id) WHERE p.relevant_date >= v GROUP BY 1, 2"""
     )
 
 
-@query("site_visits_private", _visits_sql("<>", "count_visits_private"))
+@query("site_visits_private", _visits_sql("<> 'view'", "count_visits_private"))
 def site_visits_private(spark, path):
     r = Roles(spark, path)
     who = r.table("customer").select(F.col("c_custkey").alias("account_id"), F.col("c_custkey").alias("client_id"))
     return blocks.site_visits(r.pop_touch(), who, _visits(r).where("event_type <> 'view'"), "count_visits_private")
 
 
-@query("site_visits_public", _visits_sql("=", "count_visits_public"))
+@query("site_visits_public", _visits_sql("= 'view'", "count_visits_public"))
 def site_visits_public(spark, path):
     r = Roles(spark, path)
     who = r.table("customer").select(F.col("c_custkey").alias("account_id"), F.col("c_custkey").alias("client_id"))
     return blocks.site_visits(r.pop_touch(), who, _visits(r).where("event_type = 'view'"), "count_visits_public")
+
+
+@query("site_visits", _visits_sql("IS NOT NULL", "count_visits"))
+def site_visits(spark, path):
+    r = Roles(spark, path)
+    who = r.table("customer").select(F.col("c_custkey").alias("account_id"), F.col("c_custkey").alias("client_id"))
+    return blocks.site_visits(r.pop_touch(), who, _visits(r))
