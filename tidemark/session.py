@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,14 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch one only if none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by the cluster; if none is named, one beside the warehouse's
+    tables, which every executor reaches as well."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    target = named or tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/tidemark-checkpoints")
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -46,3 +45,9 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint folder, for written hand-overs."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a hand-over folder made by `scratch_dir`, through Spark's own file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
