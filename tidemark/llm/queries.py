@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Callable
 from ..session import scratch_dir
-from . import mixing, quality_rules, sharding, token_counts
+from . import decontaminate, language, mixing, quality_mil, quality_rules, sharding, token_counts
 from .store import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,42 @@ def op2(spark, path):
     return found.select(F.col("key").alias("doc_id"), "n_tokens")
 
 
+@query("op3_quality_classifier")
+def op3(spark, path):
+    """Every document scored by a model of the labels whose fold is not 2."""
+    docs = table(spark, path, "documents").select("doc_id", "text")
+    fold = language.remainder(F.col("doc_id"), 4) == 2
+    labels = table(spark, path, "labels").select("doc_id", "quality").where(~fold & F.col("quality").isNotNull())
+    net = quality_mil.fit(docs.join(labels, "doc_id"), border=0.7, seed=3)
+    s = quality_mil.score(docs, net)
+    return s.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op4_decontamination")
+def op4(spark, path):
+    """Every document's words inside windows of benchmark items."""
+    found = decontaminate.contamination(table(spark, path, "documents").select("doc_id", "text"), table(spark, path, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", *decontamination_digest())
+
+
+def decontamination_digest():
+    return [
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+    ]
+
+
+@query("op6_language_id")
+def op6(spark, path):
+    """Every document's language by a model of the rows whose fold is not 1."""
+    docs = table(spark, path, "documents")
+    fold = language.remainder(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.where(~fold).select("doc_id", "text", "lang"), seed=6)
+    p = language.predict(docs.select("doc_id", "text"), model)
+    return p.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
 @query("op5_mixing")
 def op5(spark, path):
     """All documents mixed to weights 5, 2, 1, 5, ... at no more than 3 epochs a source."""
