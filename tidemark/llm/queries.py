@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Callable
 from ..session import scratch_dir
-from . import decontaminate, language, mixing, quality_mil, quality_rules, sharding, token_counts
+from . import decontaminate, fixity, language, mixing, near_dup, quality_mil, quality_rules, sharding, token_counts
 from .store import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,45 @@ def targets(docs: DataFrame, size) -> DataFrame:
     return mixing.water_fill(Scratch(docs.sparkSession).keep(weighed), max_epochs=3)
 
 
+PAGES_PER_ARCHIVE = 4096
+
+
+@query(
+    "op7_warc_fixity",
+    r"""
+WITH rec AS (
+  SELECT page_id, page_id // 4096 AS archive, coalesce(html, '') AS body,
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+      || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+      || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages
+)
+SELECT page_id, archive, CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+  CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest,
+  CASE WHEN page_id % 211 = 5 THEN 'missing' WHEN page_id % 97 = 13 THEN 'changed' ELSE 'same' END AS status
+FROM rec
+""",
+)
+def op7(spark, path):
+    """All pages as WARC records in archives of 4,096; a second replica has lost some records
+    (page_id % 211 = 5) and some bytes of others (page_id % 97 = 13); the audit says which."""
+    p = table(spark, path, "pages").select("page_id", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).alias("archive"), fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    first = fixity.place_records(p, "archive", "page_id", "record")
+    rotten = F.expr("CASE WHEN page_id % 97 = 13 THEN concat(substr(record, 1, length(record) - 5), '~', substr(record, -4, 4)) ELSE record END")
+    second = first.where("page_id % 211 != 5").withColumn("record", rotten)
+    own = Scratch(spark).keep(first.select("page_id", "archive", "offset", "length", F.sha2("record", 256).alias("digest")))
+    bad = fixity.audit(own.drop("page_id"), fixity.leaves(second))
+    out = own.join(bad, ["archive", "offset"], "left")
+    return out.select("page_id", "archive", "offset", "length", "digest", F.coalesce("status", F.lit("same")).alias("status"))
+
+
+@query("op8_near_duplicates")
+def op8(spark, path):
+    """Every document's component of near copies."""
+    d = near_dup.near_duplicates(table(spark, path, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_quality_rules")
 def op9(spark, path):
     """Every document's repetition measures and the verdict."""
