@@ -86,10 +86,15 @@ def decontamination_digest():
     return [
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        contaminated().alias("contaminated"),
     ]
 
 
+def contaminated():
+    """The contract's rule: at least a twentieth of the words is hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 @query("op6_language_id")
 def op6(spark, path):
     """Every document's language by a model of the rows whose fold is not 1."""
