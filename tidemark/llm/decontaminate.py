@@ -13,7 +13,7 @@ kept with the words around them, and rarity counts, candidates and comparison al
 from that table. Nothing is grouped but a document's own windows.
 
 Defined cases: null and empty texts have no words and no windows; items without words are
-no items; documents are told apart by key and text, so repeated rows get equal results;
+no items, those with a null id are hit but not named; documents are told apart by key and text, so repeated rows get equal results;
 an empty table on either side gives no hits.
 """
 
@@ -21,12 +21,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .store import Scratch, free_name
+from .store import Scratch, aside, free_name
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # the same words before lower-casing
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RESULTS = ("n_words", "n_hit", "items")
 SPAN = 13
 SHINGLE = 4
 BROADCAST_ROWS = 500_000
@@ -60,9 +61,7 @@ def contamination(
 ) -> DataFrame:
     """The rows of `docs` with `n_words`, `n_hit` (words inside any occurrence of a window) and
     `items` (sorted ids, as strings, of the items with occurring windows)."""
-    clash = {"n_words", "n_hit", "items"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already; rename them first")
+    docs = aside(docs, RESULTS)
     scratch = Scratch(docs.sparkSession)
     windows = scratch.keep(item_windows(benchmark, item, item_text, span, shingle))
     size = F.least(F.lit(shingle), F.col("m"))
@@ -102,12 +101,12 @@ def contamination(
     past = Window.partitionBy("k", "t").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)  # one document's windows
     fresh = F.greatest(F.lit(0), F.col("e") - F.greatest(F.col("s"), F.coalesce(F.max("e").over(past), F.lit(0))))
     hit = spans.select("k", "t", fresh.alias("fresh")).groupBy("k", "t").agg(F.sum("fresh").cast("long").alias("n_hit"))
-    named = found.select("k", "t", F.explode("items").alias("item")).groupBy("k", "t").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    per_doc = scratch.keep(hit.join(named, hit["k"].eqNullSafe(named["k"]) & (hit["t"] == named["t"])).select(hit["k"], hit["t"], "n_hit", "items"))
+    named = found.select("k", "t", F.explode_outer("items").alias("item")).groupBy("k", "t").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    per_doc = scratch.keep(hit.join(named, hit["k"].eqNullSafe(named["k"]) & (hit["t"] == named["t"])).select(hit["k"].alias("k__"), hit["t"].alias("t__"), "n_hit", "items"))
 
-    own, count = free_name(docs.columns, "t__"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(RAW_WORD)), F.lit(0)).cast("long")
+    own, count = free_name(docs.columns, "own__"), F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(RAW_WORD)), F.lit(0)).cast("long")
     base = docs.withColumn("n_words", count).withColumn(own, F.xxhash64(F.col(f"`{text}`")))
-    joined = base.join(per_doc, base[key].eqNullSafe(per_doc["k"]) & (base[own] == per_doc["t"]), "left")
+    joined = base.join(per_doc, base[key].eqNullSafe(per_doc["k__"]) & (base[own] == per_doc["t__"]), "left")
     none = F.array().cast("array<string>")
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items")

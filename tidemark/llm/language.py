@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .store import aside
 from .words import PIECE, pieces
 
+RESULTS = ("lang_pred", "score")
 BITS = 15
 UNKNOWN = "und"
 
@@ -144,9 +146,7 @@ def fit(
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of `docs` with `lang_pred` and `score`, the calibrated probability of it."""
-    clash = {"lang_pred", "score"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already; rename them first")
+    docs = aside(docs, RESULTS)
     if not model.labels:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     bits, shared = (len(model.weights) - 1).bit_length() - 1, docs.sparkSession.sparkContext.broadcast(model)

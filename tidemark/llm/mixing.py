@@ -18,8 +18,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .store import Scratch, free_name, offsets
+from .store import Scratch, aside, free_name, offsets
 
+RESULTS = ("size", "source_size", "target", "repeats")
 CELLS = 4096
 
 
@@ -68,12 +69,10 @@ def mix(docs: DataFrame, sources: DataFrame, size: Column, by: str = "source", k
     `key` and the size. Sums over 4,096 ranges of that hash say in which range each source's
     cut lies; only documents of that one range are put in order.
     """
-    clash = {"size", "source_size", "target", "repeats"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already; rename them first")
+    docs = aside(docs.withColumn("words__", size.cast("long")), RESULTS)
     scratch = Scratch(docs.sparkSession)
     spot, cell = free_name(docs.columns, "spot__"), free_name(docs.columns, "cell__")
-    hashed = docs.withColumn("size", size.cast("long")).withColumn(spot, F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in key], "size"))
+    hashed = docs.withColumnRenamed("words__", "size").withColumn(spot, F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in key], "size"))
     hashed = hashed.withColumn(cell, F.pmod(F.shiftrightunsigned(F.col(spot), 20), F.lit(CELLS)).cast("long"))
     goal = sources.select(
         F.col(by).alias("by__"),
@@ -90,7 +89,7 @@ def mix(docs: DataFrame, sources: DataFrame, size: Column, by: str = "source", k
     rows = hashed.join(scratch.keep(goal), F.col(f"`{by}`").eqNullSafe(F.col("by__")))
     # ranges before the cut are taken whole, later ones not at all; one range per source is ordered
     place = Window.partitionBy("by__").orderBy(spot).rowsBetween(Window.unboundedPreceding, -1)
-    out = [*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target"]
+    out = [*[F.col(f"`{c}`") for c in docs.columns if c != "words__"], "size", "source_size", "target"]
     more = (F.col(cell) < F.col("cut__")).cast("int")
     plain = rows.where(F.col(cell) != F.col("cut__")).select(*out, (F.col("whole__") + more).cast("int").alias("repeats"))
     at = F.col("from__") + F.coalesce(F.sum("size").over(place), F.lit(0))

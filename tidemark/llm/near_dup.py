@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .store import Scratch, free_name
+from .store import Scratch, aside, free_name
 from .words import Words, mix, pieces, powers, prefix, run_hash
 
+RESULTS = ("n_shingles", "component_id", "kept")
 WORDS = 4
 THRESHOLD = 80
 TREES, LEVELS = 10, 5
@@ -151,9 +152,7 @@ def near_duplicates(
 ) -> DataFrame:
     """The rows of `docs` with `n_shingles`, `component_id` (the smallest integer key reachable
     by links of at least `percent` % similarity) and `kept` (the row that stays)."""
-    clash = {"n_shingles", "component_id", "kept"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already; rename them first")
+    docs = aside(docs, RESULTS)
     scratch = Scratch(docs.sparkSession)
     all_sigs = scratch.keep(signatures(docs, key, text, k, trees, levels).withColumn("key", F.col("key").cast("long")))
     sigs = all_sigs.where("n > 0 AND key IS NOT NULL")
@@ -214,9 +213,10 @@ def near_duplicates(
     per_row = all_sigs.select("key", "n", "s1", "s2").where("key IS NOT NULL").join(named, ["s1", "s2", "n"], "left")
     per_key = per_row.groupBy("key").agg(F.max("n").alias("n"), F.min("component").alias("component"))
     own = free_name(docs.columns, "own__")
-    out = docs.withColumn(own, F.col(f"`{key}`").cast("long")).join(scratch.keep(per_key), F.col(own) == F.col("key"), "left")
-    component = F.when(F.col(own).isNotNull(), F.coalesce("component", own))
+    per_key = scratch.keep(per_key.toDF("key__", "n__", "component__"))
+    out = docs.withColumn(own, F.col(f"`{key}`").cast("long")).join(per_key, F.col(own) == F.col("key__"), "left")
+    component = F.when(F.col(own).isNotNull(), F.coalesce("component__", own))
     return out.select(
-        *[docs[c] for c in docs.columns], F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"),
+        *[F.col(f"`{c}`") for c in docs.columns], F.coalesce("n__", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col(own) == component, F.lit(True)).alias("kept"),
     )

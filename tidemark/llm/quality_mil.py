@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .store import aside
 from .words import Words, again, mix, pieces, prefix
 
 PASSAGE = 200
@@ -60,9 +61,13 @@ def encode(data: np.ndarray, at: np.ndarray, passage: int = PASSAGE) -> tuple[np
     two = (c[:-1] * np.uint64(131) + c[1:]) * np.uint64(0x9E3779B97F4A7C15)
     two = ((two[:-1] ^ (two[:-1] >> np.uint64(32))) + c[2:]) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(56)
     if len(w.start) and len(two):
-        place = np.repeat(own, np.diff(np.append(w.start, len(data))))[: len(two)]
-        lead = w.start[0]
-        grams = np.bincount(place[: len(two) - lead] * SHAPE_SLOTS + two[lead:].astype(np.int64)[: len(place)], minlength=n * SHAPE_SLOTS).reshape(n, -1)
+        inside = np.ones(len(two), bool)
+        late = np.concatenate([at[1:] - 1, at[1:] - 2])
+        inside[late[(late >= 0) & (late < len(two))]] = False  # these would reach into the next text
+        inside[: w.start[0]] = False
+        spot = np.flatnonzero(inside)
+        place = np.repeat(own, np.diff(np.append(w.start, len(data))))[spot - w.start[0]]
+        grams = np.bincount(place * SHAPE_SLOTS + two[spot].astype(np.int64), minlength=n * SHAPE_SLOTS).reshape(n, -1)
     else:
         grams = np.zeros((n, SHAPE_SLOTS))
     mean = np.bincount(own, length, minlength=n) / np.maximum(words, 1)
@@ -167,8 +172,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
 
 def score(docs: DataFrame, net: Net, text: str = "text", name: str = "score") -> DataFrame:
     """The rows of `docs` with the probability of label 1."""
-    if name in (c.lower() for c in docs.columns):
-        raise ValueError(f"a column is called {name} already; rename it first")
+    docs = aside(docs, [name])
     shared = docs.sparkSession.sparkContext.broadcast(Net(*[p.astype(np.float32) for p in net]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

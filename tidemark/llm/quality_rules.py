@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from .store import aside
 from .words import Words, again, covered, mix, pieces, prefix, row_sums, run_hash
 
 # highest share of characters in duplicated n-grams, by n, and in duplicated lines
 NGRAM_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 LINE_SHARE = 0.20
+RESULTS = ("measures", "base_failed", "kept")
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -80,10 +82,9 @@ def repetition(docs: DataFrame, text: str = "text", lengths: tuple[int, ...] = t
     """The rows of `docs` with a struct column `measures`: counts of words, characters,
     symbols, later copies of lines, words in repeated windows, and the shares of characters
     covered by duplicated lines and by duplicated n-grams of each length."""
+    docs = aside(docs, RESULTS)
     schema = docs.select(F.lit(None).cast(f"struct<{MEASURES.replace(' ', ':').replace(',:', ',')}>").alias("measures")).schema
     names = [f.name for f in schema["measures"].dataType.fields]
-    if "measures" in (c.lower() for c in docs.columns):
-        raise ValueError("a column is called measures already; rename it first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,8 +19,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .store import Scratch, free_name, offsets, parts
+from .store import Scratch, aside, free_name, offsets, parts
 
+RESULTS = ("shard", "slot")
 BUCKET_BYTES = 16 << 20
 
 
@@ -30,8 +31,7 @@ def shuffle_shards(docs: DataFrame, shards: int, seed: int = 0, bucket_bytes: in
 
     `docs` is read twice; the number of buckets follows its measured size.
     """
-    if {"shard", "slot"} & {c.lower() for c in docs.columns}:
-        raise ValueError("columns named shard or slot are there already; rename them first")
+    docs = aside(docs, RESULTS)
     key, bucket, place = (free_name(docs.columns, c) for c in ("key__", "bucket__", "place__"))
     hashed = docs.withColumn(key, F.xxhash64(F.lit(seed), *[F.xxhash64(F.col(f"`{c}`"), F.isnull(F.col(f"`{c}`"))) for c in docs.columns]))
     size = F.coalesce(F.sum(F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)) + 64), F.lit(0)).alias("bytes")

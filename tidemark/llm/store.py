@@ -40,6 +40,18 @@ def free_name(taken: Sequence[str], name: str) -> str:
     return name
 
 
+def aside(docs: DataFrame, results: Sequence[str]) -> DataFrame:
+    """Input columns called like a result (whatever the case) move to `<name>__in`."""
+    low = {r.lower() for r in results}
+    return docs.withColumnsRenamed({c: free_name(docs.columns, f"{c}__in") for c in docs.columns if c.lower() in low})
+
+
+def restored(out: DataFrame, columns: Sequence[str], results: Sequence[str]) -> DataFrame:
+    """The input's columns of an operator's output, under their own names."""
+    low = {r.lower() for r in results}
+    return out.select(*[F.col(f"`{free_name(columns, f'{c}__in')}`").alias(c) if c.lower() in low else F.col(f"`{c}`") for c in columns])
+
+
 def offsets(totals: DataFrame, part: str, counts: Sequence[str], wide: int = 1024) -> DataFrame:
     """For each numbered part the sums over all parts before it, as `<c>__before`.
 

@@ -31,9 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .store import Scratch, free_name
+from .store import Scratch, aside, free_name
 from .words import PIECE, pieces, prefix, run_hash
 
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 DEPTH = 200
 GRAM = 40
 SEGMENT = 1 << 22
@@ -193,9 +194,7 @@ def repeated_spans(docs: DataFrame, text: str, depth: int, gram: int) -> DataFra
 def remove_repeats(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
     """The rows of `docs` with `n_bytes`, `n_removed`, `n_spans` and `kept_bytes`: the UTF-8
     bytes of the text without those covered by a window that also starts anywhere else."""
-    clash = {"n_bytes", "n_removed", "n_spans", "kept_bytes"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already; rename them first")
+    docs = aside(docs, RESULTS)
     spans = Scratch(docs.sparkSession).keep(repeated_spans(docs, text, depth, gram))
     k1, k2, at = (free_name(docs.columns, c) for c in ("k1", "k2", "spans"))
     one, two = text_key(F.col(f"`{text}`"))
