@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, language, mixing, near_dup, sharding
 from tidemark.llm.queries import SHARDS, WORD, contaminated, table, targets
-from tidemark.llm.store import Scratch
+from tidemark.llm.store import Scratch, restored
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -19,23 +19,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is recognised; texts without a letter and undecided ones go."""
     model = language.fit(docs.where(language.remainder(F.col("doc_id"), 3) != 1), seed=6)
     judged = language.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    known = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return restored(known, docs.columns, language.RESULTS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    return near_dup.near_duplicates(docs).where("kept").select(*docs.columns)
+    return restored(near_dup.near_duplicates(docs).where("kept"), docs.columns, near_dup.RESULTS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth stands in benchmark windows."""
-    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where(~contaminated()).select(*docs.columns)
+    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return restored(judged.where(~contaminated()), docs.columns, decontaminate.RESULTS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return mixing.repeat_rows(mixing.mix(docs, targets(docs, size), size, seed=5)).select(*docs.columns)
+    mixed = mixing.mix(docs, targets(docs, size), size, seed=5)
+    return restored(mixing.repeat_rows(mixed), docs.columns, mixing.RESULTS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
