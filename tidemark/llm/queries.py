@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Callable
 from ..session import scratch_dir
-from . import decontaminate, fixity, language, mixing, near_dup, quality_mil, quality_rules, sharding, token_counts
+from . import decontaminate, fixity, language, mixing, near_dup, quality_mil, quality_rules, sharding, suffix_dedup, token_counts
 from .store import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,10 @@ def op9(spark, path):
     j = quality_rules.judge(quality_rules.repetition(docs))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return j.select("doc_id", *[F.col(f"measures.{n}").alias(n) for n in names], "base_failed", "kept")
+
+
+@query("op10_suffix_dedup")
+def op10(spark, path):
+    """Every document's bytes without repeated strings of 200 bytes."""
+    d = suffix_dedup.remove_repeats(table(spark, path, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
