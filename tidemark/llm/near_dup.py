@@ -10,8 +10,8 @@ are repeated until the chance to part a pair at the threshold in all of them is
 Two rounds keep copies of one text from being expanded into all pairs. The first links
 each node's documents with one of them; the second compares those pairs of a node that are
 not connected yet, and in nodes that stayed large does so in blocks of bounded size. Every
-link is confirmed on the full sets. Sets that agree in less than half of the minwise tokens
-(at 0.8 the chance is below 1e-6) are not fetched for that.
+link is confirmed on the full sets. Outside those blocks, sets that agree in under 56 % of the
+minwise tokens (for sets at 0.8 the chance is below 1e-4) are not fetched for that.
 
 Defined cases: a document with fewer words than a shingle has its whole sequence as the
 only shingle; one without words, or null, has an empty set and is linked with nothing; rows
@@ -36,6 +36,7 @@ WORDS = 4
 THRESHOLD = 80
 TREES, LEVELS = 10, 5
 SMALL = 16
+AGREE = 56
 BLOCK = 256
 SEEDS = mix(powers(0xA24BAED4963EE407, TREES * LEVELS + 64))
 
@@ -122,27 +123,55 @@ def alike(a, b, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def block_pairs(members: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a large node's members that are not connected, alike in size and in half of
-    their tokens. Members are dealt into blocks of about BLOCK; each task compares two."""
-    sizes = members.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    m = members.join(sizes, "node").withColumn("x", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(F.least("x", y).alias("i"), F.greatest("x", y).alias("j"))))
-    spread = m.withColumn("ij", pair).select("node", "ij.i", "ij.j", "x", "cid", "n", "comp", "sketch")
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set: products of 0/1 matrices
+    over `width` elements at a time."""
+    side = np.repeat([0, 1], [sum(map(len, left)), sum(map(len, right))])
+    row = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)])
+    value, order = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    by = np.argsort(order, kind="stable")
+    order, row, side = order[by], row[by], side[by]
+    out = np.zeros((len(left), len(right)))
+    for lo in range(0, len(value), width):
+        at = slice(*np.searchsorted(order, [lo, lo + width]))
+        ones = [np.zeros((len(x), width), np.float32) for x in (left, right)]
+        for k in (0, 1):
+            mine = side[at] == k
+            ones[k][row[at][mine], order[at][mine] - lo] = 1
+        out += ones[0] @ ones[1].T
+    return out
+
+
+def block_links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between members (node, cid, comp, size) of large nodes that are not connected.
+
+    Most of such a node is one component already. Its other members, dealt into blocks, are
+    compared with all members, dealt into blocks, a task holding two blocks; of the links
+    between the same components one is returned.
+    """
+    main = members.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("node").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), (F.sum("c") - F.max("c")).alias("rest")
+    )
+    deal = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "cid"), n)
+    count = lambda n: F.ceil(F.col(n) / BLOCK)
+    m = members.join(main, "node").withColumns({"rows": count("rest"), "cols": count("size")})
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = m.where("comp != main").select("node", deal(F.col("rows"), 1).alias("i"), every("cols").alias("j"), "cid", "comp", F.lit(True).alias("own"))
+    right = m.select("node", every("rows").alias("i"), deal(F.col("cols"), 2).alias("j"), "cid", "comp", F.lit(False).alias("own"))
+    spread = left.unionByName(right).join(texts.withColumnRenamed("id", "cid"), "cid").select("node", "i", "j", "cid", "comp", "own", "text")
 
     def run(t: pa.Table) -> pa.Table:
-        cid, n, comp, x = (t.column(c).to_numpy() for c in ("cid", "n", "comp", "x"))
-        sk = np.stack(t.column("sketch").to_numpy())
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        left, right = np.flatnonzero(x == i), np.flatnonzero(x == j)
-        a, b = [], []
-        for p in left:
-            other = right[(comp[right] != comp[p]) & ((i != j) | (cid[right] > cid[p]))]
-            other = other[100 * np.minimum(n[other], n[p]) >= percent * np.maximum(n[other], n[p])]
-            other = other[2 * (sk[other] == sk[p]).sum(1) >= sk.shape[1]]
-            a.append(np.minimum(cid[p], cid[other]))
-            b.append(np.maximum(cid[p], cid[other]))
-        return pa.table({"a": np.concatenate(a or [cid[:0]]), "b": np.concatenate(b or [cid[:0]])})
+        cid, comp, own = (t.column(c).to_numpy() for c in ("cid", "comp", "own"))
+        one = pa.RecordBatch.from_arrays([t.column("text").combine_chunks()], ["t"])
+        sets = [s for _, data, at in pieces(one, "t") for s in shingle_sets(data, at, k)]
+        n = np.array([len(s) for s in sets])
+        x, y = np.flatnonzero(own), np.flatnonzero(~own)
+        both = overlaps([sets[i] for i in x], [sets[i] for i in y])
+        hit = (100 * both >= percent * (n[x][:, None] + n[y] - both)) & (comp[x][:, None] != comp[y])
+        i, j = np.nonzero(hit)
+        lo, hi = np.minimum(comp[x[i]], comp[y[j]]), np.maximum(comp[x[i]], comp[y[j]])
+        first = np.unique(np.stack([lo, hi]), axis=1, return_index=True)[1] if len(lo) else np.zeros(0, int)
+        return pa.table({"a": cid[x[i[first]]], "b": cid[y[j[first]]]})
 
     return spread.groupBy("node", "i", "j").applyInArrow(run, "a long, b long")
 
@@ -175,13 +204,19 @@ def near_duplicates(
             active = scratch.keep(active)
     ends = scratch.keep(ends)
     near = scratch.keep(ends.select(F.col("cid").alias("id")).distinct())
-    mine, words = docs[key].cast("long").alias("id"), docs[text].alias("text")
-    texts = docs.select(mine, words).join(near, "id").dropDuplicates(["id"])
+    sketches = scratch.keep(reps.select(F.col("key").alias("id"), "sketch").join(near, "id").dropDuplicates(["id"]))
+    own_texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+
+    def texts(ids: DataFrame) -> DataFrame:
+        return own_texts.join(scratch.keep(ids.distinct()), "id", "left_semi").dropDuplicates(["id"])
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = scratch.keep(pairs.distinct())
-        used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        return scratch.keep(confirmed(pairs, texts.join(used, "id", "left_semi"), k, percent))
+        """Of the pairs those that agree in enough tokens and then on the full sets."""
+        pairs = pairs.distinct().join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a")
+        same = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda n, v: n + v)
+        pairs = scratch.keep(pairs.where(100 * same >= AGREE * trees * levels).select("a", "b"))
+        used = texts(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+        return scratch.keep(confirmed(pairs, used, k, percent))
 
     # round one: each node's members against one of them
     heads = ends.groupBy("node").agg(F.min(F.struct("cid", "n")).alias("head"))
@@ -193,21 +228,19 @@ def near_duplicates(
     marked = ends.join(comps.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     mixed = marked.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
     marked = scratch.keep(marked.join(mixed, "node"))
-    sketches = reps.select(F.col("key").alias("id"), "sketch").join(near, "id").dropDuplicates(["id"])
-    sketches = scratch.keep(sketches.join(marked.select(F.col("cid").alias("id")).distinct(), "id", "left_semi"))
-    member = F.struct("cid", "n", "comp")
-    groups = marked.where(F.col("size") <= small).groupBy("node").agg(F.sort_array(F.collect_list(member)).alias("g"))
+    groups = marked.where(F.col("size") <= small).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("cid", "n", "comp"))).alias("g"))
     one = groups.select("g", F.posexplode("g").alias("i", "x"))
     two = one.select("x", F.explode(F.slice("g", F.col("i") + 2, F.lit(small))).alias("y"))
     two = two.where((F.col("x.comp") != F.col("y.comp")) & alike(F.col("x.n"), F.col("y.n"), percent))
-    close = two.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
-    close = close.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-    close = close.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-    same = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    close = close.where(2 * same >= trees * levels).select("a", "b")
-    large = marked.where(F.col("size") > small).join(sketches.withColumnRenamed("id", "cid"), "cid")
-    more = linked(close.unionByName(block_pairs(large, sketches, percent)).join(links, ["a", "b"], "left_anti"))
-    comps = components(links.unionByName(more), scratch)
+    more = linked(two.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).join(links, ["a", "b"], "left_anti"))
+    links = links.unionByName(more)
+    large = marked.where(F.col("size") > small).drop("comp")
+    comps = components(links, scratch)
+    large = large.join(comps.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    mixed = large.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("node")
+    large = scratch.keep(large.join(mixed, "node"))
+    most = scratch.keep(block_links(large, texts(large.select(F.col("cid").alias("id"))), k, percent))
+    comps = components(links.unionByName(most), scratch)
 
     named = classes.join(comps.withColumnRenamed("id", "cid"), "cid", "left").select("s1", "s2", "n", F.coalesce("comp", "cid").alias("component"))
     per_row = all_sigs.select("key", "n", "s1", "s2").where("key IS NOT NULL").join(named, ["s1", "s2", "n"], "left")
