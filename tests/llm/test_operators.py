@@ -332,9 +332,9 @@ def brute_removal(rows, depth):
     return out
 
 
-@pytest.mark.parametrize("segment", [1 << 22, 1 << 12])
-def test_suffix_dedup_against_brute_force(docs, empty, segment, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+@pytest.mark.parametrize("many", [0, 2048])
+def test_suffix_dedup_against_brute_force(docs, empty, many, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MANY", many)  # with 0, every digit is spread over tasks
     got = suffix_dedup.remove_repeats(docs, depth=60, gram=12)
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got.collect()) == brute_removal([(r[0], r[1]) for r in odd_rows()], 60)
     assert got.first().n_bytes__in == "own n_bytes"

@@ -10,11 +10,14 @@ at once, so each pass handles only what may still repeat:
    bytes). Grouping runs by this digit is a shuffle with map-side counts.
 2. The second digit is the whole run's bytes. Runs that occur twice are repeated throughout;
    this settles the inside of copies.
-3. Suffixes of what is left, at the borders of copies, go through passes of eight bytes
-   inside tasks, and what is still alone in its task is counted over all tasks by its digest.
+3. What is left, at the borders of copies, moves to the task of its first digit as bytes, each
+   kind of run once, and its suffixes go through passes of eight bytes there. A first digit
+   with many kinds of runs is spread over tasks; there, and where a digit's runs fall into two
+   batches, what is still alone is counted over all tasks by its digest.
 
 No pass collects a group: counts are summed before they move, and only the runs or digests
 that repeat are joined back. Digests of two passes, 128 bits, stand for bytes between tasks.
+Texts travel packed, as they move twice.
 
 Defined cases: a null text is empty; texts shorter than a window have no suffixes; matches
 do not cross texts; equal texts are told apart from others by a 128-bit digest, so repeated
@@ -28,15 +31,17 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .store import Scratch, aside, free_name
-from .words import PIECE, pieces, prefix, run_hash
+from .store import Scratch, aside, free_name, parts
+from .words import pieces, prefix, run_hash
 
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 DEPTH = 200
 GRAM = 40
+MANY = 2048
 SEGMENT = 1 << 22
 PLACE = np.uint64((1 << 23) - 1)
 
@@ -117,8 +122,28 @@ def radix_groups(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray
 
 
 def text_key(text):
-    """Two independent 64-bit digests of a text."""
-    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2")
+    """Two independent digests of a text, 96 bits in all."""
+    return F.xxhash64(text).alias("k1"), F.hash(text).alias("k2")
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the last column, a text or bytes."""
+    tool = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        got = [tool.compress(x.as_buffer()) if x.is_valid else None for x in batch.columns[-1].cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got, pa.binary())], batch.schema.names)
+
+
+def unpack(column: pa.Array, kind: pa.DataType) -> pa.Array:
+    tool = zstandard.ZstdDecompressor()
+    return pa.array([tool.decompress(x.as_buffer()) if x.is_valid else None for x in column], pa.binary()).cast(kind)
+
+
+def packed(df: DataFrame, column: str) -> DataFrame:
+    """`df` with the column compressed and moved to the end."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    last = df.select(*rest, F.col(f"`{column}`"))
+    return last.mapInArrow(pack, StructType([*last.schema[:-1], StructField(column, BinaryType())]))
 
 
 def repeated_spans(docs: DataFrame, text: str, depth: int, gram: int) -> DataFrame:
@@ -136,7 +161,7 @@ def repeated_spans(docs: DataFrame, text: str, depth: int, gram: int) -> DataFra
                 cols += [pa.array(r["h"].astype(np.uint64).view(np.int64)), pa.array(r["e"].astype(np.uint64).view(np.int64)), pa.array(r["tied"].astype(bool))]
                 yield pa.RecordBatch.from_arrays(cols, ["k1", "k2", "pos", "len", "h", "e", "tied"])
 
-    runs = scratch.keep(keyed.mapInArrow(sample, "k1 long, k2 long, pos int, len int, h long, e long, tied boolean"))
+    runs = scratch.keep(keyed.mapInArrow(sample, "k1 long, k2 int, pos int, len int, h long, e long, tied boolean"))
     # pass 1: digits that occur once, and in one place, are done
     digits = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("lo"), F.max("e").alias("hi"), F.max("tied").alias("tied"))
     digits = scratch.keep(digits.where("n > 1 OR tied").select("h", (F.expr("n > 1 AND lo = hi")).alias("same")))
@@ -148,46 +173,65 @@ def repeated_spans(docs: DataFrame, text: str, depth: int, gram: int) -> DataFra
     whole = mixed.join(byte_runs.where("n > 1").select("h", "e"), ["h", "e"], "left_semi")
     settled = open_runs.where("same").unionByName(whole).select("k1", "k2", "pos", "len").distinct()
 
-    # pass 3: the suffixes of the other runs, each kind of run once
-    todo = byte_runs.select("at.*", "h", (F.col("n") == 1).alias("need")).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "len", "h", "need")).alias("runs"))
-    left = keyed.join(todo, ["k1", "k2"])
+    # pass 3: the bytes of the other runs, each kind of run once, to the task of their digit
+    kinds = byte_runs.groupBy("h").agg((F.count(F.lit(1)) > MANY).alias("many"))
+    todo = byte_runs.join(kinds, "h").select("at.*", "h", (F.col("n") == 1).alias("need"), "many")
+    todo = todo.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "len", "h", "need", "many")).alias("runs"))
+    left = todo.join(packed(keyed, "text"), ["k1", "k2"]).select("k1", "k2", "runs", "text")
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = unpack(batch.column(3), pa.binary()).to_pylist()
+                row = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+                flat = batch.column(2).flatten()
+                pos, length = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+                cut = [texts[r][p : p + n + depth - 1] for r, p, n in zip(row, pos, length)]
+                who = pa.array(row, pa.int64())
+                cols = [batch.column(0).take(who), batch.column(1).take(who), *(flat.field(i) for i in range(5)), pa.array(cut, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["k1", "k2", "pos", "len", "h", "need", "many", "bytes"])
+
+    moved = left.mapInArrow(slices, "k1 long, k2 int, pos int, len int, h long, need boolean, many boolean, bytes binary")
+    salt = F.when(F.col("many"), F.xxhash64("k1", "pos"))
+    moved = moved.repartition(parts(docs.sparkSession), "h", salt).sortWithinPartitions("h")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, at in pieces(batch, "text", PIECE // 2):
-                col = rows.column(rows.schema.get_field_index("runs"))
-                sizes = col.value_lengths().to_numpy()
-                flat = col.flatten()
-                pos, length, h = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-                need = flat.field(3).to_numpy(zero_copy_only=False).astype(bool)
-                row = np.repeat(np.arange(rows.num_rows), sizes)
-                total = int(length.sum())
-                each = np.repeat(np.arange(len(pos)), length)
-                inside = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
-                own_pos = pos[each] + inside
-                start = at[row[each]] + own_pos
-                sums = prefix(data.astype(np.uint64) + np.uint64(1))
-                digest = run_hash(sums, start, start + depth).view(np.int64)
+            for rows, data, at in pieces(batch, "bytes"):
+                length, h, pos = (rows.column(i).to_numpy().astype(np.int64) for i in (3, 4, 2))
+                need, many = (rows.column(i).to_numpy(zero_copy_only=False).astype(bool) for i in (5, 6))
+                split = many | (h == h[0]) | (h == h[-1])  # others may hold more runs of the digit
+                each = np.repeat(np.arange(len(h)), length)
+                inside = np.arange(len(each)) - np.repeat(np.cumsum(length) - length, length)
+                start = at[each] + inside
                 group = radix_groups(data, start, depth)
-                # equal here: settled, and one row is evidence for other tasks
-                alone = group < 0
-                first = np.unique(group[~alone], return_index=True)[1]
-                lead = np.flatnonzero(~alone)[first]
-                wanted, known = np.flatnonzero(alone & need[each]), np.flatnonzero(~alone & need[each])
-                bare = np.concatenate([lead, np.flatnonzero(alone & ~need[each])])
-                pick = np.concatenate([wanted, known, bare])
-                weight = np.concatenate([np.ones(len(wanted), np.int32), np.zeros(len(known), np.int32), np.full(len(bare), 2, np.int32)])
-                asks = np.concatenate([np.ones(len(wanted), bool), np.ones(len(known), bool), np.zeros(len(bare), bool)])
-                who = pa.array(np.where(asks, row[each][pick], -1), pa.int64())
-                who = pc.if_else(pa.array(asks), who, pa.scalar(None, pa.int64()))
-                cols = [rows.column(0).take(who), rows.column(1).take(who), pa.array(own_pos[pick].astype(np.int32)), pa.array(h[each][pick]), pa.array(digest[pick]), pa.array(weight)]
-                yield pa.RecordBatch.from_arrays(cols, ["k1", "k2", "pos", "h", "d", "weight"])
-
-    found = scratch.keep(left.select("k1", "k2", "text", "runs").mapInArrow(suffixes, "k1 long, k2 long, pos int, h long, d long, weight int"))
-    # weight 0: equal to another in its task; 1: alone there and asking; 2: evidence
+                alone, asks, shared = group < 0, need[each], split[each]
+                # equal here: settled; neighbours make one range
+                known = np.flatnonzero(~alone & asks)
+                first = np.ones(len(known), bool)
+                first[1:] = (each[known[1:]] != each[known[:-1]]) | (known[1:] != known[:-1] + 1)
+                span = np.diff(np.append(np.flatnonzero(first), len(known)))
+                # alone here, in a digit that others hold too: ask; what others may ask for: evidence
+                wanted = np.flatnonzero(alone & asks & shared)
+                lead = np.flatnonzero(~alone & shared)
+                lead = lead[np.unique(group[lead], return_index=True)[1]]
+                bare = np.concatenate([lead, np.flatnonzero(alone & ~asks & shared)])
+                pick = np.concatenate([known[first], wanted, bare])
+                width = np.concatenate([span, np.ones(len(wanted) + len(bare), int)])
+                weight = np.repeat([0, 1, 2], [len(span), len(wanted), len(bare)])
+                who = pc.if_else(pa.array(weight < 2), pa.array(each[pick], pa.int64()), pa.scalar(None, pa.int64()))
+                sums = prefix(data.astype(np.uint64) + np.uint64(1))
+                digest = run_hash(sums, start[pick], start[pick] + depth).view(np.int64)
+                ints = [pa.array(x, pa.int32()) for x in (pos[each[pick]] + inside[pick], width, weight)]
+                cols = [rows.column(0).take(who), rows.column(1).take(who), *ints[:2], pa.array(h[each[pick]]), pa.array(digest), ints[2]]
+                yield pa.RecordBatch.from_arrays(cols, ["k1", "k2", "pos", "len", "h", "d", "weight"])
+
+    found = scratch.keep(moved.mapInArrow(suffixes, "k1 long, k2 int, pos int, len int, h long, d long, weight int"))
+    # weight 0: settled; 1: alone in its task and asking; 2: evidence
     counted = found.where("weight > 0").groupBy("h", "d").agg(F.sum("weight").alias("w")).where("w > 1").select("h", "d")
     asking = found.where("weight = 1").join(counted, ["h", "d"], "left_semi")
-    border = asking.unionByName(found.where("weight = 0")).select("k1", "k2", "pos", F.lit(1).alias("len"))
+    border = asking.unionByName(found.where("weight = 0")).select("k1", "k2", "pos", "len")
     return settled.unionByName(border).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "len")).alias("spans"))
 
 
@@ -198,12 +242,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram
     spans = Scratch(docs.sparkSession).keep(repeated_spans(docs, text, depth, gram))
     k1, k2, at = (free_name(docs.columns, c) for c in ("k1", "k2", "spans"))
     one, two = text_key(F.col(f"`{text}`"))
-    keyed = docs.withColumn(k1, one).withColumn(k2, two)
-    joined = keyed.join(spans.toDF(k1, k2, at), [k1, k2], "left").select(*[F.col(f"`{c}`") for c in docs.columns], at)
+    keyed = packed(docs.withColumn(k1, one).withColumn(k2, two), text)
+    rest = [c for c in docs.columns if c != text]
+    joined = keyed.join(spans.toDF(k1, k2, at), [k1, k2], "left").select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`"), at)
     names = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for small in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            body = unpack(small.column(len(rest)), pa.string())
+            batch = pa.RecordBatch.from_arrays([*small.columns[:-2], body, small.column(len(rest) + 1)], small.schema.names)
             for rows, data, off in pieces(batch, text):
                 lists = rows.column(rows.num_columns - 1)
                 sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -226,4 +273,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *cols], [*rows.schema.names[:-1], *names])
 
     kinds = [LongType(), LongType(), LongType(), BinaryType()]
-    return joined.mapInArrow(cut, StructType([*docs.schema, *[StructField(n, t) for n, t in zip(names, kinds)]]))
+    shape = StructType([*docs.select(*[F.col(f"`{c}`") for c in [*rest, text]]).schema, *[StructField(n, t) for n, t in zip(names, kinds)]])
+    return joined.mapInArrow(cut, shape).select(*[F.col(f"`{c}`") for c in [*docs.columns, *names]])
