@@ -79,6 +79,32 @@ def document_frequencies(docs: DataFrame, text: str, bits: int) -> tuple[np.ndar
     return out[:-1], int(out[-1])
 
 
+def sparse_rows(docs: DataFrame, text: str, label: str, bits: int) -> DataFrame:
+    """Terms (int32) and log(1 + count) (float32) of each text, packed in the tasks: the
+    driver gets a few kilobytes of numbers per sampled row, never its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, _, _ in pieces(batch, text):
+                terms, logs = [], []
+                for t, c in term_counts([x or "" for x in rows.column(0).to_pylist()], bits):
+                    terms.append(t.astype(np.int32).tobytes())
+                    logs.append(np.log1p(c).astype(np.float32).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(1).cast(pa.string()), pa.array(terms, pa.binary()), pa.array(logs, pa.binary())], ["label", "terms", "logs"]
+                )
+
+    return docs.select(text, label).mapInArrow(run, "label string, terms binary, logs binary")
+
+
+def unit_row(terms: bytes, logs: bytes, idf: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, weights) of length 1 with the bias term at the end."""
+    at = np.frombuffer(terms, np.int32)
+    v = np.frombuffer(logs, np.float32) * idf[at]
+    v = v / max(float(np.sqrt(v @ v)), 1e-12)
+    return np.append(at, np.int32(1 << bits)), np.append(v, 1.0).astype(np.float32)
+
+
 def ftrl(rows: list, y: np.ndarray, classes: int, bits: int, alpha: float, beta: float, l1: float, l2: float, epochs: int, seed: int) -> np.ndarray:
     """Weights (terms + 1 bias, classes) after FTRL-proximal steps over the rows."""
     z, n = np.zeros(((1 << bits) + 1, classes)), np.zeros(((1 << bits) + 1, classes))
@@ -130,10 +156,11 @@ def fit(
     each = sample / len(labels)
     rate = F.coalesce(*[F.when(F.col(label) == k, F.lit(each / c)) for k, c in sizes.items()])
     spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(1 << 30)) / F.lit(1 << 30)
-    picked = short.where(spot < rate).select(text, label).limit(2 * sample).toArrow().to_pylist()
-    picked.sort(key=lambda r: (r[text], r[label]))  # whatever order the tasks ended in
-    y = np.array([labels.index(r[label]) for r in picked])
-    rows = [(np.append(t, 1 << bits), np.append(vector(t, c, idf), 1.0)) for t, c in term_counts([r[text] for r in picked], bits)]
+    picked = sparse_rows(short.where(spot < rate).select(text, label).limit(2 * sample), text, label, bits).toArrow().to_pylist()
+    picked.sort(key=lambda r: (r["terms"], r["logs"], r["label"]))  # whatever order the tasks ended in
+    y = np.array([labels.index(r["label"]) for r in picked])
+    rows = [unit_row(r["terms"], r["logs"], idf, bits) for r in picked]
+    del picked
     order = np.random.default_rng(seed).permutation(len(rows))
     fold, held = order[len(order) // 5 :], order[: len(order) // 5]
     w = ftrl([rows[i] for i in fold], y[fold], len(labels), bits, alpha, beta, l1, l2, epochs, seed)
