@@ -50,7 +50,15 @@ def test_drift_finds_only_the_shifted_column(spark, size):
     b = spark.range(300).select(F.rand(3).alias("same"), (F.randn(4) + 1).alias("moved"))
     assert [r["feature"] for r in ev.ks_drift(a, b, ["same", "moved"]).collect()] == ["moved"]
     t = {r["feature"]: r for r in ev.ks_table(a, a, ["same"]).collect()}
-    assert t["same"]["statistic"] == 0.0 and t["same"]["p"] == pytest.approx(1.0, abs=1e-6) or t["same"]["p"] == 0.0
+    assert t["same"]["statistic"] == 0.0 and t["same"]["p"] == 1.0
+
+
+def test_kolmogorov_p_at_known_values(spark):
+    # with 20,000 rows on each side t is 100 d; values of the published table
+    known = {0.0: 1.0, 0.001: 1.0, 0.003: 0.9999906941, 0.005: 0.9639452436, 0.01: 0.2699996717, 0.015: 0.0222179626, 0.1: 0.0}
+    df = spark.createDataFrame([(d, 20000.0) for d in known], "d double, n double")
+    got = {r["d"]: r["p"] for r in df.select("d", ev.kolmogorov_p(F.col("d"), F.col("n"), F.col("n")).alias("p")).collect()}
+    assert got == pytest.approx(known, abs=1e-9)
 
 
 def test_top_contributions_text(spark):

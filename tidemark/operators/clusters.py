@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
+import operator
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .models import CLUSTER_LABELS, knee
 
 
 def cluster_fit(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 0, starts: int = 3, max_iter: int = 100) -> PipelineModel:
-    """Standardise and k-means; the best of several starts by training cost."""
+    """Standardise and k-means; the best of several starts by training cost. Rows with a
+    gap (null or NaN) are not learned from."""
     prepared = Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(features), outputCol="raw__", handleInvalid="skip"),
+            VectorAssembler(inputCols=list(features), outputCol="raw__", handleInvalid="keep"),
             StandardScaler(inputCol="raw__", outputCol="scaled__", withMean=True, withStd=True),
         ]
-    ).fit(df)
-    data = prepared.transform(df).select("scaled__").persist()
+    ).fit(complete := df.dropna(subset=list(features)))
+    data = prepared.transform(complete).select("scaled__").persist()
     best = None
     for s in range(starts):
         m = KMeans(k=k, seed=seed + s, featuresCol="scaled__", predictionCol="group", maxIter=max_iter).fit(data)
@@ -33,8 +36,15 @@ def cluster_fit(df: DataFrame, features: Sequence[str], k: int = 4, seed: int =
     return PipelineModel(stages=[*prepared.stages, best])
 
 
+def _whole(features: Sequence[str]) -> Column:
+    """No null or NaN among the features."""
+    return functools.reduce(operator.and_, [~F.isnan(F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))) for c in features])
+
+
 def cluster_predict(df: DataFrame, model: PipelineModel) -> DataFrame:
-    return model.transform(df).drop("raw__", "scaled__")
+    """Every row with its `group`; null where a feature has a gap."""
+    known = _whole(model.stages[0].getInputCols())
+    return model.transform(df).withColumn("group", F.when(known, F.col("group"))).drop("raw__", "scaled__")
 
 
 def cluster_category(df: DataFrame, model: PipelineModel, name: str = "cluster_category") -> DataFrame:
@@ -43,8 +53,8 @@ def cluster_category(df: DataFrame, model: PipelineModel, name: str = "cluster_c
 
 
 def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 0, max_iter: int = 50) -> tuple[DataFrame, int]:
-    """Training cost per k and the k at its knee."""
-    data = VectorAssembler(inputCols=list(features), outputCol="v__", handleInvalid="skip").transform(df).select("v__").persist()
+    """Training cost per k and the k at its knee, over the rows without a gap."""
+    data = VectorAssembler(inputCols=list(features), outputCol="v__").transform(df.dropna(subset=list(features))).select("v__").persist()
     rows = []
     for k in ks:
         m = KMeans(k=k, seed=seed, featuresCol="v__", maxIter=max_iter).fit(data)
@@ -56,9 +66,12 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int =
 
 
 def gmm(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 1, max_iter: int = 50) -> DataFrame:
-    data = VectorAssembler(inputCols=list(features), outputCol="v__", handleInvalid="skip").transform(df)
-    model = GaussianMixture(k=k, seed=seed, featuresCol="v__", predictionCol="group", probabilityCol="p__", maxIter=max_iter).fit(data)
-    return model.transform(data).drop("v__", "p__")
+    """Every row with its mixture component as `group`; null where a feature has a gap,
+    and such rows are not learned from."""
+    data = VectorAssembler(inputCols=list(features), outputCol="v__", handleInvalid="keep").transform(df)
+    mixture = GaussianMixture(k=k, seed=seed, featuresCol="v__", predictionCol="group", probabilityCol="p__", maxIter=max_iter)
+    model = mixture.fit(data.dropna(subset=list(features)))
+    return model.transform(data).withColumn("group", F.when(_whole(features), F.col("group"))).drop("v__", "p__")
 
 
 def dbscan(df: DataFrame, features: Sequence[str], key: str, eps: float = 1.9, min_points: int = 5) -> DataFrame:

@@ -128,7 +128,8 @@ _KS = f"""WITH d AS ({_DRIFT}), long AS (UNPIVOT d ON {', '.join(_FEATS)} INTO N
   g AS (SELECT feature, value, sum(CASE WHEN train THEN 1 ELSE 0 END) AS a, sum(CASE WHEN train THEN 0 ELSE 1 END) AS b FROM long GROUP BY 1, 2),
   c AS (SELECT feature, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY feature) AS n1, sum(b) OVER (PARTITION BY feature) AS n2 FROM g WINDOW w AS (PARTITION BY feature ORDER BY value)),
   k AS (SELECT feature, max(abs(CAST(ca AS DOUBLE) / n1 - CAST(cb AS DOUBLE) / n2)) AS d, CAST(max(n1) AS DOUBLE) AS n1, CAST(max(n2) AS DOUBLE) AS n2 FROM c GROUP BY 1),
-  ks AS (SELECT feature, d, least(1.0, greatest(0.0, 2 * (SELECT sum(CASE WHEN i % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * exp(-2.0::DOUBLE * i * i * k.d * k.d * k.n1 * k.n2 / (k.n1 + k.n2))) FROM range(1, 101) r(i)))) AS p FROM k)
+  t AS (SELECT *, d * sqrt(n1 * n2 / (n1 + n2)) AS t FROM k),
+  ks AS (SELECT feature, d, CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE least(1.0, greatest(0.0, 1 - sqrt(2 * pi()) / t.t * (SELECT sum(exp(-((2 * i - 1) * pi() / t.t) * ((2 * i - 1) * pi() / t.t) / 8)) FROM range(1, 20001) r(i)))) END AS p FROM t)
 """
 
 
