@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Callable
 from ..session import scratch_dir
-from . import decontaminate, fixity, language, mixing, near_dup, quality_mil, quality_rules, sharding, suffix_dedup, token_counts
+from . import decontaminate, fixity, hard_negatives, language, mixing, near_dup, phrases, quality_mil, quality_rules, sharding, simhash, suffix_dedup, token_counts
 from .store import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,64 @@ def op10(spark, path):
     """Every document's bytes without repeated strings of 200 bytes."""
     d = suffix_dedup.remove_repeats(table(spark, path, "documents").select("doc_id", "text"))
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_phrases",
+    r"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) AS t(k)) GROUP BY ALL
+), n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (SELECT * FROM f WHERE k > 1 AND f >= 100
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c b ON s.lang = b.lang AND b.k > s.k AND 100 * b.f >= 100 * s.f
+    AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')
+), cut AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(u[1:j], ' ') AS head, array_to_string(u[j + 1:], ' ') AS rest
+  FROM (SELECT c.*, string_split(c.phrase, ' ') AS u, unnest(range(1, c.k)) AS j FROM c ANTI JOIN inside USING (lang, phrase))
+), scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, x.f AS l, y.f AS r, n.n, cut.j, CAST((1000::HUGEINT * cut.a * n.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.head JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rest JOIN n ON n.lang = cut.lang
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM best QUALIFY rank <= 2000
+""",
+)
+def op11(spark, path):
+    """The best 2,000 phrases of each language, over all texts."""
+    return phrases.collocations(table(spark, path, "documents"))
+
+
+@query(
+    "op12_hard_negatives",
+    r"""
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS own, b.vec_id AS id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (SELECT anchor_id, id, score FROM s WHERE own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INT) AS rank, s.id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.own AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+""",
+)
+def op12(spark, path):
+    """Hard negatives of every vector whose id is divisible by 100, against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, path, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+@query("op13_simhash")
+def op13(spark, path):
+    """Every document's fingerprint and component of near fingerprints."""
+    return simhash.simhash_duplicates(table(spark, path, "documents").select("doc_id", "text"))
