@@ -368,3 +368,45 @@ def test_radix_groups_are_the_equal_windows():
     many = Counter(windows)
     assert all((g < 0) == (many[w] == 1) for g, w in zip(group, windows))
     assert len({(g, w) for g, w in zip(group, windows) if g >= 0}) == len({w for w in windows if many[w] > 1}) == len({g for g in group if g >= 0})
+
+
+def thue_morse(n):
+    """Two different texts of n characters that a polynomial modulo a power of two cannot tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_regular_texts_do_not_collide(spark, n):
+    one, two = thue_morse(n)
+    rows = [(1, one), (2, two), (3, f"{one}\n{two}"), (4, " ".join([one] * 8 + [two] * 8))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    near = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()}
+    assert near == {1: 1, 2: 2, 3: 3, 4: 4}
+    m = {r.doc_id: r.measures for r in quality_rules.repetition(df).collect()}
+    assert m[3].n_dup_lines == 0 and m[4].n_repeat_words == 0
+    got = suffix_dedup.remove_repeats(df)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got.collect()) == brute_removal(rows, 200)
+
+
+def test_string_keys_that_are_no_numbers_are_not_linked(spark):
+    rows = [("7", "a b c d e"), ("5", "A b c d e"), ("x", "a b c d e"), (None, "a b c d e")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {("7", 5, False), ("5", 5, True), ("x", None, True), (None, None, True)}
+
+
+def test_ids_of_long_runs_are_those_of_the_whole_text():
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = token_counts.encoder(path, P.PATTERN)
+    for run in (" " * 50, "\n" * 40, " \t\n\u2003" * 9, "\u3000" * 30 + " "):
+        for text in (run, f"a{run}b", f"it's{run}", f"{run}7{run}\x1c{run}!", f"x {run} y"):
+            assert token_counts.ids_of(text, path, P.PATTERN, long=20) == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", [" " * 10_000_000, "\n" * 10_000_000, "x" + " " * 10_000_000 + "y", "q" * 10_000_000, "中" * 3_300_000])
+def test_very_long_runs_are_encoded(text):
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("byte_bpe_50k.tiktoken")
+    ids = token_counts.ids_of(text, path, P.PATTERN)
+    assert token_counts.encoder(path, P.PATTERN).decode(ids) == text

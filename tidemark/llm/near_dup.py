@@ -15,7 +15,7 @@ minwise tokens (for sets at 0.8 the chance is below 1e-4) are not fetched for th
 
 Defined cases: a document with fewer words than a shingle has its whole sequence as the
 only shingle; one without words, or null, has an empty set and is linked with nothing; rows
-with a null key are not linked and are kept; rows with one key are one document; extra
+with a null key, or a string that is no whole number, are not linked and are kept; rows with one key are one document; extra
 columns pass through.
 """
 
@@ -183,7 +183,7 @@ def near_duplicates(
     by links of at least `percent` % similarity) and `kept` (the row that stays)."""
     docs = aside(docs, RESULTS)
     scratch = Scratch(docs.sparkSession)
-    all_sigs = scratch.keep(signatures(docs, key, text, k, trees, levels).withColumn("key", F.col("key").cast("long")))
+    all_sigs = scratch.keep(signatures(docs, key, text, k, trees, levels).withColumn("key", F.col("key").try_cast("long")))
     sigs = all_sigs.where("n > 0 AND key IS NOT NULL")
     classes = scratch.keep(sigs.groupBy("s1", "s2", "n").agg(F.min("key").alias("cid")))
     reps = sigs.join(classes.withColumnRenamed("cid", "key"), ["s1", "s2", "n", "key"]).dropDuplicates(["key", "s1", "s2"])
@@ -205,7 +205,7 @@ def near_duplicates(
     ends = scratch.keep(ends)
     near = scratch.keep(ends.select(F.col("cid").alias("id")).distinct())
     sketches = scratch.keep(reps.select(F.col("key").alias("id"), "sketch").join(near, "id").dropDuplicates(["id"]))
-    own_texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    own_texts = docs.select(F.col(f"`{key}`").try_cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def texts(ids: DataFrame) -> DataFrame:
         return own_texts.join(scratch.keep(ids.distinct()), "id", "left_semi").dropDuplicates(["id"])
@@ -247,7 +247,7 @@ def near_duplicates(
     per_key = per_row.groupBy("key").agg(F.max("n").alias("n"), F.min("component").alias("component"))
     own = free_name(docs.columns, "own__")
     per_key = scratch.keep(per_key.toDF("key__", "n__", "component__"))
-    out = docs.withColumn(own, F.col(f"`{key}`").cast("long")).join(per_key, F.col(own) == F.col("key__"), "left")
+    out = docs.withColumn(own, F.col(f"`{key}`").try_cast("long")).join(per_key, F.col(own) == F.col("key__"), "left")
     component = F.when(F.col(own).isNotNull(), F.coalesce("component__", own))
     return out.select(
         *[F.col(f"`{c}`") for c in docs.columns], F.coalesce("n__", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"),

@@ -20,7 +20,7 @@ that repeat are joined back. Digests of two passes, 128 bits, stand for bytes be
 Texts travel packed, as they move twice.
 
 Defined cases: a null text is empty; texts shorter than a window have no suffixes; matches
-do not cross texts; equal texts are told apart from others by a 128-bit digest, so repeated
+do not cross texts; equal texts are told apart from others by two digests, 96 bits, so repeated
 rows repeat each other; extra columns pass through.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .store import Scratch, aside, free_name, parts
 from .words import pieces, prefix, run_hash
@@ -146,6 +146,17 @@ def packed(df: DataFrame, column: str) -> DataFrame:
     return last.mapInArrow(pack, StructType([*last.schema[:-1], StructField(column, BinaryType())]))
 
 
+def unpacked(df: DataFrame, column: str) -> DataFrame:
+    """`df` with the column that `packed` compressed as a text again."""
+    last = df.select(*[F.col(f"`{c}`") for c in df.columns if c != column], F.col(f"`{column}`"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], unpack(batch.columns[-1], pa.string())], batch.schema.names)
+
+    return last.mapInArrow(run, StructType([*last.schema[:-1], StructField(column, StringType())])).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def repeated_spans(docs: DataFrame, text: str, depth: int, gram: int) -> DataFrame:
     """(k1, k2, spans): for each text with repeated windows the first bytes of those windows,
     as ranges (pos, len)."""

@@ -9,7 +9,7 @@ document that it finds open.
 
 Defined cases: two separators in a row are an empty document; ids after a file's last
 separator are a document that is not ended (`ended` false); an empty file has no documents;
-a null block is an empty one.
+a null block is an empty one. Texts may be of any length, runs of one character included.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -26,9 +27,11 @@ from .store import Scratch
 
 BLOCK_IDS = 1 << 18
 WIDE = 1024
+LONG_RUN = 10_000
+AHEAD = r"\s+(?!\S)"
 
 
-@functools.lru_cache(1)
+@functools.lru_cache(4)
 def encoder(path: str, pattern: str):
     """A byte-pair encoder from a public rank file: one token (base64) and rank a line."""
     import base64
@@ -40,6 +43,24 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def ids_of(text: str, path: str, pattern: str, long: int = LONG_RUN) -> list[int]:
+    """The ids of a text of any length.
+
+    The rule for white space looks ahead and would need a stack as deep as a run is long, so runs of `long`
+    and more are cut out. By that rule such a run is one piece up to its last character,
+    which begins the next piece, or altogether where the text ends: the ids are those of the whole text.
+    """
+    enc, out, at = encoder(path, pattern), [], 0
+    if len(text) >= long and AHEAD in pattern:
+        for run in regex.finditer(rf"\p{{White_Space}}{{{long},}}", text):
+            end = run.end() - (run.end() < len(text))
+            out += enc.encode_ordinary(text[at : run.start()])
+            out += encoder(path, r"\s+").encode_ordinary(text[run.start() : end])
+            at = end
+    out += enc.encode_ordinary(text[at:])
+    return out
+
+
 def token_blocks(
     docs: DataFrame, ranks: str, pattern: str, separator: int, text: str = "text", key: str = "doc_id", block_ids: int = BLOCK_IDS
 ) -> DataFrame:
@@ -52,7 +73,7 @@ def token_blocks(
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, file = encoder(ranks, pattern), TaskContext.get().partitionId()
+        file = TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         size, keys, block = 0, [], 0
         names = ["file", "block", "ids", "keys"]
@@ -63,10 +84,10 @@ def token_blocks(
 
         key_type = pa.int64()
         for batch in batches:
-            texts, ids_of = batch.column(0), batch.column(1)
-            key_type = ids_of.type
-            for t, k in zip(texts, ids_of):
-                got = enc.encode_ordinary(t.as_py() or "")
+            texts, names_of = batch.column(0), batch.column(1)
+            key_type = names_of.type
+            for t, k in zip(texts, names_of):
+                got = ids_of(t.as_py() or "", ranks, pattern)
                 got.append(separator)
                 held.append(np.array(got, np.uint16))
                 size += len(got)

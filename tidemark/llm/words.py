@@ -1,9 +1,9 @@
 """Words, lines and n-grams of many texts at once, as numpy arrays over their UTF-8 bytes.
 
 A batch of texts is one byte buffer with offsets. Words are runs of bytes outside a
-separator set. Hashes are polynomials modulo 2^64 taken from prefix sums, so that the
-hash of any run of bytes (or of word hashes) costs two look-ups; a final mixing step
-spreads the bits. Equal runs have equal hashes in every task and on every machine.
+separator set. Hashes are polynomials modulo two primes taken from prefix sums, so that the
+hash of any run of bytes (or of word hashes) costs a few look-ups; a final mixing step
+spreads the bits. (Modulo a power of two, some regular texts would collide for every base.) Equal runs have equal hashes in every task and on every machine.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
+PRIMES = (2147483647, 2147483629)
+BASES = (1315423911, 987654323)
 PIECE = 1 << 21
 
 _powers: dict[int, np.ndarray] = {}
+_modular: dict[tuple[int, int], np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -45,16 +46,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def modular(base: int, prime: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo a prime below 2^31; grown on demand by doubling."""
+    have = _modular.get((base, prime), np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, have * np.uint64(pow(base, len(have), prime)) % np.uint64(prime)])
+    _modular[base, prime] = have
+    return have[:n]
+
+
 def prefix(values: np.ndarray) -> np.ndarray:
-    """Running polynomial sums: entry i covers the first i values."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(BASE, len(values)), out=out[1:])
+    """Running polynomial sums, a row a prime: entry i covers the first i values."""
+    out = np.zeros((len(PRIMES), len(values) + 1), np.uint64)
+    for row, base, prime in zip(out, BASES, PRIMES):
+        np.cumsum(values % np.uint64(prime) * modular(base, prime, len(values)) % np.uint64(prime), out=row[1:])
     return out
 
 
 def run_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the runs [start, end) of what `sums` was made from."""
-    return mix((sums[end] - sums[start]) * powers(INVERSE, len(sums))[start])
+    out = np.zeros(len(start), np.uint64)
+    for row, base, prime in zip(sums, BASES, PRIMES):
+        back = modular(pow(base, -1, prime), prime, sums.shape[1])
+        out = out << np.uint64(31) | (row[end] - row[start]) % np.uint64(prime) * back[start] % np.uint64(prime)
+    return mix(out)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
