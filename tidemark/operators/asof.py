@@ -11,10 +11,14 @@ on the account alone while raw facts are still around:
 
 * facts are first reduced to one row per (account, day, ...), with map-side
   combining, so that what is left per account is bounded by the calendar;
-* bounded look-backs join on (account, month bucket): a population row is
-  repeated for the few buckets its window touches, a fact row never is. A busy
-  account is thereby cut into one join key per bucket, and rows outside the
-  window's buckets never meet;
+* bounded look-backs are no joins: a fact is due on one day and leaves the window
+  on another, whatever the reference dates are. Both are steps of +x and -x, summed
+  by (account, day) before they move, and a running sum merged with the reference
+  dates is the window's total. For distinct values the ranges of reference dates
+  that the days of one value cover are united first. Extremes, which cannot be
+  taken back, come from running extremes inside blocks of days (`windowed_extremes`);
+* the two-level usage block joins on (account, month bucket): a population row is
+  repeated for the few buckets its windows touch, a fact row never is;
 * unbounded look-backs are running sums over those daily rows merged with the
   reference days: linear in both inputs instead of a join of every reference
   date with the whole past.
@@ -62,19 +66,32 @@ class Back:
             return F.add_months(F.trunc(ref, "month"), -self.boundary_months)
         return F.add_months(F.trunc(ref, "month") if self.from_month_start else ref, -self.months)
 
-    def bucket_months(self) -> int:
-        span = self.months or self.boundary_months or max(1, (self.days or 0) // 30)
-        return max(1, -(-span // 4))
+    def last_reference(self, day: Column) -> Column:
+        """The latest reference date whose window still holds the day."""
+        if self.days is not None:
+            return F.date_add(day, self.days)
+        if self.boundary_months is not None or self.from_month_start:
+            months = self.months if self.boundary_months is None else self.boundary_months
+            return F.last_day(F.add_months(F.trunc(day, "month"), months))
+        ahead = F.add_months(day, self.months)
+        # the last day of a month stands for all later days of longer months
+        return F.when(day == F.last_day(day), F.last_day(ahead)).otherwise(ahead)
+
+    def shortest(self) -> int:
+        """The least number of days that the window can have."""
+        if self.days is not None:
+            return self.days + 1
+        return 28 * (self.months if self.boundary_months is None else self.boundary_months) + 1
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One output column. `where` limits the rows; `late` may use the reference date."""
+    """One output column. `where` limits the rows; `late` is a shorter window than the operator's."""
 
     kind: str
     expr: Column | None = None
     where: Column | None = None
-    late: Column | None = None
+    late: Back | None = None
 
     def input(self) -> Column:
         value = F.lit(1) if self.expr is None else self.expr
@@ -101,7 +118,7 @@ def smallest(expr: Column, where: Column | None = None) -> Measure:
     return Measure("min", expr, where)
 
 
-def distinct(where: Column | None = None, late: Column | None = None) -> Measure:
+def distinct(where: Column | None = None, late: Back | None = None) -> Measure:
     """Number of distinct values of the operator's `distinct_of` expression."""
     return Measure("distinct", None, where, late)
 
@@ -119,15 +136,6 @@ def _partial(name: str, m: Measure) -> list[Column]:
     return [_FOLD[m.kind](m.input()).alias(f"{name}__s")]
 
 
-def _merge(name: str, m: Measure) -> list[Column]:
-    if m.kind == "distinct":
-        flag = F.col(f"{name}__f")
-        return [F.max(flag if m.late is None else F.when(m.late, flag)).alias(f"{name}__f")]
-    fold = F.sum if m.kind in ("count", "mean", "sum") else _FOLD[m.kind]
-    out = [fold(f"{name}__s").alias(f"{name}__s")]
-    return out + ([F.sum(f"{name}__n").alias(f"{name}__n")] if m.kind == "mean" else [])
-
-
 def _final(name: str, m: Measure) -> Column:
     if m.kind == "count":
         return F.sum(f"{name}__s").alias(name)
@@ -153,47 +161,117 @@ def asof_aggregate(
     measures: Mapping[str, Measure],
     back: Back,
     distinct_of: Column | None = None,
-    carry: Sequence[str] = (),
     key: str = KEY,
     ref: str = REF,
 ) -> DataFrame:
-    """Aggregate facts with `lower(ref) <= ts <= ref` per (key, ref).
+    """Aggregate facts with `lower(ref) <= ts <= ref` per (key, ref), without a join of dates and facts.
+
+    Distinct counts of several conditions share `distinct_of`. Null values are rows
+    but no distinct values. Totals of fractions are differences of running totals, exact up to
+    rounding of the account's whole sum.
+    """
+    rows = fact.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    rows = rows.withColumns({"first__": day_floor(F.col(ts)), "due__": day_due(F.col(ts))})
+    extremes = {n: m for n, m in measures.items() if m.kind in ("max", "min")}
+    stepped = {n: m for n, m in measures.items() if n not in extremes}
+    if not stepped:
+        return windowed_extremes(pop, rows, extremes, back, key, ref)
+    out = windowed_totals(pop, rows, stepped, back, distinct_of, key, ref)
+    if extremes:
+        out = out.join(windowed_extremes(pop, rows, extremes, back, key, ref), [key, ref])
+    return out.select(key, ref, *measures)
+
+
+def windowed_totals(
+    pop: DataFrame, rows: DataFrame, measures: Mapping[str, Measure], back: Back, distinct_of: Column | None, key: str, ref: str
+) -> DataFrame:
+    """Counts, sums, means and distinct counts of rows (first__, due__) by steps in and out of the window."""
+    leaves = F.date_add(back.last_reference(F.col("first__")), 1)
+    plain = {n: m for n, m in measures.items() if m.kind != "distinct"}
+    uniq = {n: m for n, m in measures.items() if m.kind == "distinct"}
+
+    # a row enters on one day and leaves on another; steps of a day are summed before they move
+    inputs = [m.input().alias(f"{n}__x") for n, m in plain.items()]
+    both = F.array(F.struct(F.col("due__").alias("at__"), F.lit(1).alias("sign__")), F.struct(leaves.alias("at__"), F.lit(-1).alias("sign__")))
+    each = rows.where(F.col("due__") < leaves).select(key, F.explode(both).alias("s__"), *inputs).select(key, "s__.*", *[f"{n}__x" for n in plain])
+    sign = F.col("sign__")
+    sums = [F.sum(sign).alias("rows__")]
+    for n, m in plain.items():
+        x = F.col(f"{n}__x")
+        sums.append(F.sum(F.when(x.isNotNull(), sign).otherwise(0)).alias(f"{n}__n"))
+        if m.kind != "count":
+            sums.append(F.sum(x * sign).alias(f"{n}__s"))
+    steps = each.groupBy(key, "at__").agg(*sums)
 
-    Distinct counts of several conditions share `distinct_of`, so they are one
-    grouping by value with flags rather than one expansion per condition.
-    `carry` names fact columns that `late` conditions need.
+    if uniq:
+        flags = [F.max(m.where if m.where is not None else F.lit(True)).alias(f"{n}__f") for n, m in uniq.items()]
+        days = rows.withColumn("value__", distinct_of).where("value__ is not null").groupBy(key, "value__", "first__", "due__").agg(*flags)
+        before = Window.partitionBy(key, "value__").orderBy("first__", "due__").rowsBetween(Window.unboundedPreceding, -1)
+        starts, ends = [], []
+        for n, m in uniq.items():
+            end = F.date_add((m.late or back).last_reference(F.col("first__")), 1)
+            end = F.least(end, leaves) if m.late else end
+            covered = F.max(F.when(F.col(f"{n}__f"), end)).over(before)
+            starts.append(F.greatest("due__", covered).alias(f"{n}__in"))
+            ends.append(end.alias(f"{n}__out"))
+        spans = days.select(key, *[f"{n}__f" for n in uniq], *starts, *ends)
+        moves = []
+        for n in uniq:
+            for at, by in ((f"{n}__in", 1), (f"{n}__out", -1)):
+                runs = F.col(f"{n}__f") & (F.col(f"{n}__in") < F.col(f"{n}__out"))
+                moves.append(F.struct(F.when(runs, F.col(at)).alias("at__"), *[F.lit(by if o == n else 0).alias(f"{o}__n") for o in uniq]))
+        moved = spans.select(key, F.explode(F.array(*moves)).alias("m__")).select(key, "m__.*").where("at__ is not null")
+        steps = steps.unionByName(moved.groupBy(key, "at__").agg(*[F.sum(f"{n}__n").alias(f"{n}__n") for n in uniq]), allowMissingColumns=True)
+
+    # at most a row per day and source for each key: bounded by the calendar
+    marks = pop.select(key, F.col(ref).alias("at__"), F.lit(1).alias("asked__"))
+    past = Window.partitionBy(key).orderBy("at__", F.coalesce("asked__", F.lit(0))).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = lambda c: F.coalesce(F.sum(c).over(past), F.lit(0))
+    outs = [held("rows__").alias("rows__")]
+    for n, m in measures.items():
+        there = held(f"{n}__n")
+        if m.kind in ("count", "distinct"):
+            outs.append(there.alias(n))
+        else:
+            value = F.sum(f"{n}__s").over(past)
+            outs.append(F.when(there > 0, value / there if m.kind == "mean" else value).alias(n))
+    line = steps.unionByName(marks, allowMissingColumns=True).select(key, F.col("at__").alias(ref), "asked__", *outs)
+    return line.where("asked__ = 1 and rows__ > 0").drop("asked__", "rows__")
+
+
+def windowed_extremes(pop: DataFrame, rows: DataFrame, measures: Mapping[str, Measure], back: Back, key: str, ref: str) -> DataFrame:
+    """Largest and smallest values of rows (first__, due__) inside the window, by blocks of days.
+
+    Blocks are as long as the shortest window, so a window is the end of one block, whole
+    blocks, and the beginning of another: look-ups of running extremes inside blocks, taken from both
+    sides. A key's days are cut by block; no date is joined with days.
     """
-    has_distinct = any(m.kind == "distinct" for m in measures.values())
-    width = back.bucket_months()
-    grain = [F.col(key), day_floor(F.col(ts)).alias("first__"), day_due(F.col(ts)).alias("due__")]
-    grain += [F.col(c) for c in carry]
-    if has_distinct:
-        grain.append(distinct_of.alias("value__"))
-    parts = [p for n, m in measures.items() for p in _partial(n, m)]
-    daily = fact.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(*grain).agg(*parts)
-    daily = daily.withColumn("bucket__", F.floor(month_number(F.col("first__")) / width).cast("int"))
-
-    wanted = pop.select(key, ref)
-    wanted = with_buckets(wanted, back.lower(F.col(ref)), F.col(ref), width)
-    hits = wanted.join(daily, [key, "bucket__"]).where(
-        (F.col("first__") >= back.lower(F.col(ref))) & (F.col("due__") <= F.col(ref))
+    # two places a day: a moment after midnight is due on the day after it
+    wide = 2 * back.shortest()
+    place = (2 * F.unix_date("first__") + F.when(F.col("due__") > F.col("first__"), 1).otherwise(0)).alias("place__")
+    folds = {"seen__": F.max, **{n: _FOLD[m.kind] for n, m in measures.items()}}
+    points = rows.groupBy(key, place).agg(F.lit(1).alias("seen__"), *[folds[n](m.input()).alias(n) for n, m in measures.items()])
+    points = points.withColumn("block__", F.floor(F.col("place__") / wide))
+
+    low, high = 2 * F.unix_date(back.lower(F.col(ref))), 2 * F.unix_date(F.col(ref))
+    asked = pop.select(key, ref, low.alias("low__"), high.alias("high__"))
+    asked = asked.withColumns({"b0__": F.floor(F.col("low__") / wide), "b1__": F.floor(F.col("high__") / wide)})
+    mark = lambda block, at, upto: F.struct(block.cast("long").alias("block__"), at.cast("int").alias("place__"), F.lit(upto).alias("upto__"))
+    one, two = F.col("b0__"), F.col("b1__")
+    inner = F.when(two - one > 1, F.transform(F.sequence(one + 1, F.greatest(two - 1, one + 1)), lambda b: mark(b, (b + 1) * wide - 1, True)))
+    every = F.concat(
+        F.array(mark(two, F.col("high__"), True)),
+        F.when(one < two, F.array(mark(one, F.col("low__"), False))).otherwise(F.array().cast("array<struct<block__:bigint,place__:int,upto__:boolean>>")),
+        F.coalesce(inner, F.array().cast("array<struct<block__:bigint,place__:int,upto__:boolean>>")),
     )
-    if has_distinct:
-        merged = [p for n, m in measures.items() for p in _merge(n, m)]
-        hits = hits.groupBy(key, ref, "value__").agg(*merged)
-        # a null value is a row (it counts for sums) but never a distinct value
-        hits = hits.select(
-            "*",
-            *[
-                F.when(F.col("value__").isNotNull(), F.col(f"{n}__f")).alias(f"{n}__g")
-                for n, m in measures.items()
-                if m.kind == "distinct"
-            ],
-        )
-        for n, m in measures.items():
-            if m.kind == "distinct":
-                hits = hits.drop(f"{n}__f").withColumnRenamed(f"{n}__g", f"{n}__f")
-    return hits.groupBy(key, ref).agg(*[_final(n, m) for n, m in measures.items()])
+    marks = asked.select(key, ref, F.explode(every).alias("m__")).select(key, ref, "m__.*")
+    line = points.unionByName(marks, allowMissingColumns=True)
+    last = F.coalesce(F.col("upto__").isNotNull(), F.lit(False))  # points before marks at the same place
+    up = Window.partitionBy(key, "block__").orderBy("place__", last).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(key, "block__").orderBy(F.desc("place__"), last).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = line.select(key, ref, "upto__", *[F.when(F.col("upto__"), f(n).over(up)).otherwise(f(n).over(down)).alias(n) for n, f in folds.items()])
+    out = found.where("upto__ is not null").groupBy(key, ref).agg(*[f(n).alias(n) for n, f in folds.items()])
+    return out.where("seen__ = 1").select(key, ref, *measures)
 
 
 def asof_running(

@@ -42,17 +42,14 @@ def support_cases(pop: DataFrame, movements: DataFrame, cases: DataFrame, parame
         "case_id", day_floor(F.col("movement_date")).alias("movement_date")
     ).distinct()
     fact = moved.join(cases, "case_id")
-    ref = F.col(REF)
     # the window opens on the month's first day, the 12-month count on the exact day
-    in_year = F.col("first__") >= F.add_months(ref, -12)
-    in_quarter = F.col("first__") >= F.add_months(ref, -3)
     return asof_aggregate(
         pop,
         fact,
         "movement_date",
         {
-            "cases_within_last_year": asof.distinct(late=in_year),
-            "cases_within_3_last_months": asof.distinct(late=in_quarter),
+            "cases_within_last_year": asof.distinct(late=Back(months=12)),
+            "cases_within_3_last_months": asof.distinct(late=Back(months=3)),
         },
         YEAR_FROM_MONTH_START,
         distinct_of=F.col("case_id"),
