@@ -7,9 +7,13 @@ from tidemark.operators import evaluate as ev
 from tidemark.operators import models, order
 
 
-@pytest.fixture(params=[10**9, 5], ids=["one bucket", "many buckets"])
-def size(request, monkeypatch):
-    monkeypatch.setattr(order, "LARGE_GROUP", request.param)
+@pytest.fixture(params=["true", "false"], ids=["few stretches", "many stretches"])
+def size(request, spark):
+    """Small stretches are joined by the adaptive plan, or left as they are."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.unset(name)
 
 
 def test_running_totals_equal_a_global_window(spark, size):
@@ -17,10 +21,33 @@ def test_running_totals_equal_a_global_window(spark, size):
     rows = [(g, v, rng.randrange(9)) for g in ("a", "b") for v in rng.sample(range(1000), 300 if g == "a" else 3)]
     df = spark.createDataFrame(rows, "g string, v int, x int")
     for desc in (False, True):
-        for few in (True, False):
-            got = {(r["g"], r["v"]): r["x__cum"] for r in order.running_totals(df, ["g"], "v", ["x"], desc, few).collect()}
-            for g, v, _ in rows:
-                assert got[g, v] == sum(x for h, w, x in rows if h == g and (w >= v if desc else w <= v))
+        got = {(r["g"], r["v"]): r["x__cum"] for r in order.running_totals(df, ["g"], "v", ["x"], desc).collect()}
+        for g, v, _ in rows:
+            assert got[g, v] == sum(x for h, w, x in rows if h == g and (w >= v if desc else w <= v))
+
+
+def test_null_groups_are_groups(spark, size):
+    df = spark.createDataFrame([(None, float(i)) for i in range(5)] + [("b", 2.0)] * 7 + [("b", None)], "g string, v double")
+    cum = {(r["g"], r["v"]): r["n__cum"] for r in order.running_totals(df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")), ["g"], "v", ["n"]).collect()}
+    assert cum[None, 3.0] == 4 and cum["b", 2.0] == 8
+    got = {r["g"]: r for r in order.exact_quantiles(df, ["g"], "v", {"mid": 0.5}).collect()}
+    assert got[None]["mid"] == 2.0 and got["b"]["n"] == 7
+    prof = {(r["g"], r["feature"]): (r["median"], r["members"]) for r in ev.cluster_profile(df, ["v"], "g", 1).collect()}
+    assert prof == {(None, "v"): (2.0, 5), ("b", "v"): (2.0, 8)}
+    pts = ev.pr_points(df.select(F.lit(1).alias("y"), F.col("v").alias("s"), "g"), "y", "s", ["g"]).where("g IS NULL")
+    assert pts.count() == 5
+
+
+def test_ranks_number_every_row_once(spark, size):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", None, "c"]), i, rng.randrange(10)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, k int, x int")
+    got = {(r["g"], r["k"]): r["at"] for r in order.ranks(df, ["g"], [F.desc("x"), F.asc("k")], "at").collect()}
+    for g in ("a", None, "c"):
+        mine = sorted((-x, k) for h, k, x in rows if h == g)
+        assert [got[g, k] for _, k in mine] == list(range(len(mine)))
+    assert order.ranks(df, [], [F.asc("k")], "at").where("at = k").count() == 500
+    assert order.ranks(df.where("false"), ["g"], [F.asc("k")], "at").count() == 0
 
 
 def test_exact_quantiles_interpolate(spark, size):

@@ -110,3 +110,26 @@ def test_random_search_reports_every_candidate(spark):
     est = LogisticRegression(labelCol="class", featuresCol="features", weightCol="weight", maxIter=5)
     best, table = models.random_search(df, ["a", "b"], "class", ["k"], {"regParam": lambda g: g.uniform(0, 1)}, n=3, k=2, estimator=est)
     assert table.count() == 3 and best is not None
+
+
+def test_importance_is_averaged_over_the_models_that_use_a_feature(spark):
+    class Fitted:
+        def __init__(self, v):
+            self.featureImportances = self.coefficients = self
+            self.v = v
+
+        def toArray(self):
+            return self.v
+
+    stack = models.Stack([None, None], [["a", "b"], ["b", "c"]])
+    stack.fitted, stack.top = [Fitted([0.8, 0.2]), Fitted([0.5, 0.1])], Fitted([3.0, 1.0])
+    got = {r["feature"]: r["importance"] for r in stack.importance(spark).collect()}
+    assert got == {"a": 1.0, "b": pytest.approx((0 * 3 + 1 * 1) / 4), "c": 0.0}
+
+
+def test_rows_without_a_label_stay(spark):
+    df = spark.createDataFrame([(i, [0, 1, 1, None][i % 4]) for i in range(40)], "k int, y int")
+    w = {r["y"]: r["weight"] for r in models.class_weights(df, "y").collect()}
+    assert w == {0: 1.5, 1: 0.75, None: None} and models.class_weights(df, "y").count() == 40
+    cut = models.folds(df, "y", ["k"], 5)
+    assert cut.count() == 40 and {(r["y"], r["fold_0"]): r["count"] for r in cut.groupBy("y", "fold_0").count().collect()}[None, 3] == 2

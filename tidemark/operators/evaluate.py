@@ -8,7 +8,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import prep
-from .order import exact_quantiles, running_totals
+from .order import exact_quantiles, join_groups, running_totals
 
 
 def class_share(df: DataFrame, feature: str, label: str, min_obs: int = 50) -> DataFrame:
@@ -34,20 +34,18 @@ def importance_summary(importance: DataFrame, n: int | None = None) -> DataFrame
 def pr_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall at each distinct score, with what the areas need.
 
-    Rows are grouped by score first; the running totals come from value buckets, so
+    Rows are grouped by score first; the running totals come from stretches of the sorted scores, so
     neither a busy score nor the number of scores ends up in one task.
     """
     n = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")
     )
     cum = running_totals(n, by, score, ["pos", "n"], descending=True)
-    g = list(by) or ["all__"]
-    cum = cum if by else cum.withColumn("all__", F.lit(0))
-    totals = cum.groupBy(*g).agg(F.max("pos__cum").alias("positives"), F.max("n__cum").alias("rows"))
+    totals = cum.groupBy(*by).agg(F.max("pos__cum").alias("positives"), F.max("n__cum").alias("rows"))
     tp, seen = F.col("pos__cum"), F.col("n__cum")
     before = seen - F.col("n")
     return (
-        cum.join(F.broadcast(totals), g)
+        join_groups(cum, totals, by)
         .select(
             *by,
             F.col(score).alias("threshold"),
@@ -147,7 +145,7 @@ def ks_table(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFram
     totals = cum.groupBy("feature").agg(F.max("a__cum").alias("n1"), F.max("b__cum").alias("n2"))
     gap = F.abs(F.col("a__cum") / F.col("n1") - F.col("b__cum") / F.col("n2"))
     d = (
-        cum.join(F.broadcast(totals.where("n1 > 0 and n2 > 0")), "feature")
+        cum.join(totals.where("n1 > 0 and n2 > 0"), "feature")
         .groupBy("feature")
         .agg(F.max(gap).alias("statistic"), F.max("n1").cast("double").alias("n1"), F.max("n2").cast("double").alias("n2"))
     )
@@ -183,13 +181,14 @@ def log_histogram(train: DataFrame, test: DataFrame, cols: Sequence[str], width:
 def cluster_profile(df: DataFrame, cols: Sequence[str], group: str, min_members: int = 1) -> DataFrame:
     """Median of every column per group of more than `min_members` rows, long form.
 
-    Exact medians from value counts and bucketed running totals, so that a group of
-    any size never sits in one task.
+    Exact medians from value counts and running totals over stretches, so that a group of
+    any size never sits in one task. Rows whose group is null are a group.
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > min_members)
     long = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot([group], list(cols), "feature", "value")
-    med = exact_quantiles(long, [group, "feature"], "value", {"median": 0.5}, few=False).drop("n")
-    return med.join(sizes, group)
+    med = exact_quantiles(long, [group, "feature"], "value", {"median": 0.5}).drop("n")
+    out = join_groups(med, sizes, [group])
+    return out.select(group, "feature", "median", "members")
 
 
 # ---------------------------------------------------------------- explanations
@@ -243,7 +242,7 @@ def top_contributions(
     )
     return (
         top.join(text, [key, "feature"])
-        .join(F.broadcast(edges), "feature", "left")  # one row per numeric feature
+        .join(edges, "feature", "left")
         .select(key, "feature", F.concat("feature_value", note).alias("feature_value"), "contribution")
     )
 
@@ -253,9 +252,8 @@ def effect_strength(contrib: DataFrame) -> DataFrame:
     side = contrib.withColumn("positive", F.col("contribution") > 0)
     med = exact_quantiles(side, ["feature", "positive"], "contribution", {"median": 0.5}).drop("n")
     beyond = F.when(F.col("positive"), F.col("contribution") > F.col("median")).otherwise(F.col("contribution") < F.col("median"))
-    # two medians per feature
     return (
-        side.join(F.broadcast(med), ["feature", "positive"])
+        side.join(med, ["feature", "positive"])
         .withColumn("level_of_effect", F.when(beyond, "strong").otherwise("weak"))
         .drop("positive", "median")
     )

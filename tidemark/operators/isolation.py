@@ -52,20 +52,15 @@ def _grow(tree: int, x: np.ndarray, seed: int) -> list[tuple]:
 def isolation_fit(
     df: DataFrame, features: Sequence[str], key: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 0
 ) -> DataFrame:
-    """Nodes of the forest. Rows are drawn by hash: a scan with a threshold, then the
-    `trees * sample` smallest hashes dealt out to the trees."""
-    wanted = trees * sample
-    n = df.count()
-    u = hash_fraction(F.lit(f"iso{seed}"), *[F.col(k) for k in key])
-    near = df.select(*[F.col(f).cast("double").alias(f) for f in features], u.alias("u__"))
-    near = near.where(F.col("u__") < min(1.0, 2.0 * wanted / max(n, 1)))
-    drawn = near.orderBy("u__").limit(wanted)
-    # short of rows: every tree takes the same few rows in turn
-    dealt = drawn.withColumn("tree", F.floor(F.pmod(F.col("u__") * 4294967296.0, F.lit(float(trees)))).cast("int"))
-    if n < wanted:
-        share = min(1.0, sample / max(n, 1))
-        every = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        dealt = every.where(hash_fraction(F.col("u__"), F.col("tree")) < share)
+    """Nodes of the forest. Rows are drawn by hash, by one rule for any number of them: a row goes to
+    `trees * sample / rows` neighbouring trees on average (to all of them at most), the first one
+    by its hash, so a tree holds about `sample` rows."""
+    each = min(float(trees), trees * sample / max(df.count(), 1))
+    names = [F.col(k) for k in key]
+    u, first = hash_fraction(F.lit(f"iso{seed}"), *names), hash_fraction(F.lit(f"tree{seed}"), *names)
+    drawn = df.select(*[F.col(f).cast("double").alias(f) for f in features], u.alias("u__"), F.floor(first * trees).alias("at__"), F.floor(F.lit(each) + u).cast("int").alias("n__"))
+    drawn = drawn.where("n__ > 0").withColumn("i__", F.explode(F.sequence(F.lit(0), F.least("n__", F.lit(trees)) - 1)))
+    dealt = drawn.withColumn("tree", F.pmod(F.col("at__") + F.col("i__"), F.lit(trees)).cast("int"))
     cols = list(features)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

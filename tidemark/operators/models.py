@@ -15,32 +15,17 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import evaluate as ev
-from .order import exact_quantiles
-
-HASH_BUCKETS_HEX = 3  # 4096 buckets
+from .order import exact_quantiles, ranks
 
 
 def hash_rank(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, name: str) -> DataFrame:
     """0-based rank by SHA-1 of (seed, key) within `by`, as one global row_number would give.
 
-    Ranks are taken within hash-prefix buckets and shifted by the counts of the
-    buckets before, so a label holding most rows is still ranked by many tasks.
+    Rows are ranked by range partitions, so a label holding most rows is ranked by many tasks;
+    a null label is a label.
     """
     h = F.sha1(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
-    g = list(by) or ["all__"]
-    cut = (df if by else df.withColumn("all__", F.lit(0))).withColumn("h__", h).withColumn(
-        "b__", F.substring("h__", 1, HASH_BUCKETS_HEX)
-    )
-    earlier = Window.partitionBy(*g).orderBy("b__").rowsBetween(Window.unboundedPreceding, -1)  # 4096 rows per class
-    offsets = cut.groupBy(*g, "b__").agg(F.count(F.lit(1)).alias("n__")).select(
-        *g, "b__", F.coalesce(F.sum("n__").over(earlier), F.lit(0)).alias("o__")
-    )
-    within = Window.partitionBy(*g, "b__").orderBy("h__")
-    return (
-        cut.join(F.broadcast(offsets), [*g, "b__"])  # at most 4096 rows per class
-        .withColumn(name, F.row_number().over(within) - 1 + F.col("o__"))
-        .select(*df.columns, name)
-    )
+    return ranks(df.withColumn("h__", h), by, [F.asc("h__")], name).drop("h__")
 
 
 def folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5, repeats: int = 1, seed: int = 0) -> DataFrame:
@@ -59,8 +44,8 @@ def split_by_date(df: DataFrame, date: str, cut: str) -> tuple[DataFrame, DataFr
 
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weight per class: rows / (classes * rows of the class)."""
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Balanced weight per class: rows / (classes * rows of the class), over the rows with a label."""
+    n = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     every = Window.partitionBy()  # one row per class
     return n.select(
         label,
@@ -70,8 +55,9 @@ def class_weight_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """`df` with its class's weight; a row without a label stays, without a weight."""
     table = class_weight_table(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(table), label)  # one row per class
+    return df.join(table, label, "left")
 
 
 def assemble_vector(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -193,16 +179,17 @@ class Stack:
         return out.drop("stack")
 
     def importance(self, spark) -> DataFrame:
-        """Min-max scaled base importances, averaged with the top's weights; a model that
-        does not use a feature adds 0 for it."""
+        """Min-max scaled base importances, averaged with the top's weights over the models that use
+        the feature: one that does not use it says nothing about it."""
         w = self.top.coefficients.toArray()
-        total = float(sum(w)) or 1.0
         rows = []
         for i, (m, feats) in enumerate(zip(self.fitted, self.feature_sets)):
             imp = m.featureImportances.toArray()
             lo, hi = float(min(imp)), float(max(imp))
-            rows += [(f, float((v - lo) / ((hi - lo) or 1.0)) * float(w[i]) / total) for f, v in zip(feats, imp)]
-        return spark.createDataFrame(rows, "feature string, part double").groupBy("feature").agg(F.sum("part").alias("importance"))
+            rows += [(f, float((v - lo) / ((hi - lo) or 1.0)), float(w[i])) for f, v in zip(feats, imp)]
+        parts = spark.createDataFrame(rows, "feature string, scaled double, weight double")
+        weighted = F.sum(F.col("scaled") * F.col("weight")) / F.sum("weight")
+        return parts.groupBy("feature").agg(F.when(F.sum("weight") != 0, weighted).otherwise(F.avg("scaled")).alias("importance"))
 
 
 def random_search(
