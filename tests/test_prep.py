@@ -2,6 +2,8 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +149,44 @@ def test_weekly_versions_against_the_row_loop(spark):
         for r in versions.weekly_versions(df, ["tie"]).collect()
     }
     assert got == brute_weekly(rows)
+
+
+@pytest.mark.parametrize("width", [2, 30, 31, 70, 150])
+def test_correlations_follow_one_rule_at_every_width(spark, width):
+    """Gaps are skipped pair by pair, whatever the number of columns; a column without spread has no r."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(60, width)) + 1e6
+    x[:, 1] = x[:, 0] * -2 + rng.normal(size=60) * 0.01
+    x[rng.random(x.shape) < 0.2] = np.nan
+    if width > 2:
+        x[:, 2] = 7.0
+    rows = [[None if np.isnan(v) and rng.random() < 0.5 else float(v) for v in r] for r in x]
+    cols = [f"c {i}" for i in range(width)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in cols)).repartition(3)
+    got = {(r["a"], r["b"]): r["r"] for r in prep.correlations(df, cols).collect()}
+    want = pd.DataFrame(x, columns=cols).corr()
+    assert len(got) == width * (width - 1) // 2
+    for (a, b), r in got.items():
+        assert (r is None and want.at[a, b] != want.at[a, b]) or r == pytest.approx(want.at[a, b], abs=1e-6)
+    assert prep.drop_by_correlation(df, cols, 0.95).columns == [c for c in cols if c != "c 1"]
+
+
+def test_correlations_of_500_columns(spark):
+    df = spark.range(400).select(*[F.rand(i).alias(f"c{i}") for i in range(250)]).select("*", *[(F.col(f"c{i}") * 3 - 1).alias(f"d{i}") for i in range(250)])
+    assert prep.correlated(df, df.columns, 0.9) == [f"d{i}" for i in range(250)]
+
+
+def test_correlations_of_nothing(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert prep.correlations(df, ["a", "b"]).count() == 0 and prep.correlations(df, ["a"]).count() == 0
+    gaps = spark.createDataFrame([(None, 1.0)] * 3, "a double, b double")
+    assert [tuple(r) for r in prep.correlations(gaps, ["a", "b"]).collect()] == [("a", "b", None)]
+
+
+def test_a_label_for_every_row_is_indexed_without_the_driver(spark):
+    train = spark.range(5000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("s"), F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, "y").alias("t"))
+    e = prep.encode(train.unionByName(train.where("s = 'v00042'")), ["s", "t"])
+    got = {r["s"]: (r["s_idx"], r["t_idx"]) for r in e.transform(train.unionByName(spark.createDataFrame([("new", "zz")], "s string, t string"))).collect()}
+    assert got["v00042"][0] == 0.0 and got["v00000"][0] == 1.0 and got["v04999"][0] == 4999.0
+    assert got["new"] == (5000.0, 2.0) and got["v00002"][1] == 2.0 and {got["v00000"][1], got["v00001"][1]} == {0.0, 1.0}
+    assert sorted(v[0] for k, v in got.items() if k != "new") == [float(i) for i in range(5000)]

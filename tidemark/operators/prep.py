@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions import numeric as num
+from ..session import cut_lineage
+from .order import ranks
 
 LAGS = ("", "__q1", "__q2", "__m1", "__m2")
 MONTHLY = ("__m2", "__m1", "")
@@ -121,21 +120,71 @@ def drop_zero_variance(df: DataFrame, exempt: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in flat])
 
 
+TILE = 64
+SUMS = 6
+
+
+def tile_sums(z: np.ndarray, there: np.ndarray, i: int, j: int) -> np.ndarray:
+    """For the column pairs of one tile: rows present in both, sums, squares and products over those."""
+    a, b = z[:, i * TILE : (i + 1) * TILE], z[:, j * TILE : (j + 1) * TILE]
+    p, q = there[:, i * TILE : (i + 1) * TILE], there[:, j * TILE : (j + 1) * TILE]
+    return np.stack([p.T @ q, a.T @ q, p.T @ b, (a * a).T @ q, p.T @ (b * b), a.T @ b])
+
+
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r of every column pair (a before b), as rows; nulls pairwise skipped.
+    """Pearson r of every column pair (a before b), as rows (a, b, r); gaps (null or NaN) pairwise skipped.
 
-    One pass with one expression per pair up to 30 columns; beyond that the Gramian
-    of the assembled vector (columns squared on the driver, rows with nulls skipped).
+    One way for any number of columns: each task sums, over its rows, tiles of `TILE` x `TILE` pairs
+    under masks; tiles of one number are added as they pass in sorted order. No matrix reaches the driver. Columns
+    are shifted by their means first, so that large values lose no digits. r is null where a pair has no spread.
     """
-    pairs = list(combinations(cols, 2))
-    if len(cols) <= 30:
-        one = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-        rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
-        return one.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
-    vec = VectorAssembler(inputCols=list(cols), outputCol="v__", handleInvalid="skip").transform(df.select(*cols))
-    m = Correlation.corr(vec, "v__").first()[0].toArray()
-    at = {c: i for i, c in enumerate(cols)}
-    return df.sparkSession.createDataFrame([(a, b, float(m[at[a], at[b]])) for a, b in pairs], "a string, b string, r double")
+    names = list(cols)
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    mean = [F.avg(F.when(~F.isnan(f"x{i}"), F.col(f"x{i}"))).alias(f"x{i}") for i in range(len(names))]
+    shift = np.array([v or 0.0 for v in values.agg(*mean).first()])
+    tiles = -(-len(names) // TILE)
+    numbers = [(i, j) for i in range(tiles) for j in range(i, tiles)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: list = [0.0] * len(numbers)
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) if batch.num_rows else np.zeros((0, len(names)))
+            there = (~np.isnan(x)).astype(float)
+            z = np.where(there > 0, x - shift, 0.0)
+            for t, (i, j) in enumerate(numbers):
+                total[t] = total[t] + tile_sums(z, there, i, j)
+        for t, v in enumerate(total):
+            if isinstance(v, np.ndarray):
+                yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([v.ravel()], pa.list_(pa.float64()))], ["tile", "sums"])
+
+    def pairs(t: int, total: np.ndarray) -> pa.RecordBatch:
+        i, j = numbers[t]
+        n, a, b, aa, bb, ab = total.reshape(SUMS, min(TILE, len(names) - i * TILE), -1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            u, v = aa - a * a / n, bb - b * b / n
+            r = (ab - a * b / n) / np.sqrt(u * v)
+        r[~((u > 1e-12 * aa) & (v > 1e-12 * bb))] = np.nan
+        at, to = np.nonzero(np.ones_like(r))
+        ok = at + i * TILE < to + j * TILE
+        at, to = at[ok], to[ok]
+        got = [pa.array([names[x + y * TILE] for x in z], pa.string()) for z, y in ((at, i), (to, j))]
+        return pa.RecordBatch.from_arrays([*got, pa.array(np.clip(r[at, to], -1, 1), from_pandas=True)], ["a", "b", "r"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        for batch in batches:
+            for t, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if t != now and now is not None:
+                    yield pairs(now, total)
+                total = v.values.to_numpy() + (total if t == now else 0.0)
+                now = t
+        if now is not None:
+            yield pairs(now, total)
+
+    tiled = values.mapInArrow(sums, "tile int, sums array<double>")
+    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(added, "a string, b string, r double")
 
 
 def correlated(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> list[str]:
@@ -144,15 +193,42 @@ def correlated(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> li
     return [c for c in cols if c in hit]
 
 
+def drop_by_correlation(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> DataFrame:
+    """`df` without the columns that `correlated` names (names only reach the driver)."""
+    gone = set(correlated(df, cols, threshold))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])
+
+
 def category_names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not is_numeric(df, c)]
 
 
-def encode(train: DataFrame, cols: Sequence[str]) -> StringIndexerModel:
-    """Indexes by falling frequency, ties by name; unseen values get their own index."""
-    return StringIndexer(
-        inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep", stringOrderType="frequencyDesc"
-    ).fit(train)
+class Encoding:
+    """Indexes of labels as a table (column, label, idx); the labels stay in the executors."""
+
+    def __init__(self, table: DataFrame, sizes: Mapping[str, int]):
+        self.table, self.sizes = table, dict(sizes)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """`df` with `<column>_idx` of every column; labels not seen, and nulls, get the next free index."""
+        for c, n in self.sizes.items():
+            own = self.table.where(F.col("column") == c).select(F.col("label").alias("label__"), F.col("idx").cast("double").alias("idx__"))
+            df = df.join(own, F.col(f"`{c}`").cast("string") == F.col("label__"), "left")
+            df = df.withColumn(f"{c}_idx", F.coalesce("idx__", F.lit(float(n)))).drop("label__", "idx__")
+        return df
+
+
+def encode(train: DataFrame, cols: Sequence[str]) -> Encoding:
+    """Indexes by falling frequency, ties by name; unseen values get their own index.
+
+    A column may have as many labels as rows: labels are ranked by range partitions, and
+    the driver learns how many there are.
+    """
+    long = train.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "label")
+    counts = long.where("label is not null").groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
+    table = cut_lineage(ranks(counts, ["column"], [F.desc("n"), F.asc("label")], "idx").select("column", "label", "idx"))
+    found = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Encoding(table, {c: found.get(c, 0) for c in cols})
 
 
 def align(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import assemble as wide
 from ..operators import asof, blocks, cohort
 from ..operators.asof import FIVE_PERIODS
+from ..session import cut_lineage
 from .block_queries import back_sql, period_sql, rounded
 from .registry import query
 from .roles import AS_OF, PACKAGES, STORAGE, USERS, Roles, cte
@@ -303,7 +304,8 @@ def _matrix_sql(full: bool) -> str:
         "since": """SELECT p.account_id, p.relevant_date, CAST(date_diff('day', max(CASE WHEN flag = 'R' THEN art_create_date END), p.relevant_date) AS INTEGER) AS days_since_reply
             FROM pop p JOIN usage_part u USING (account_id) WHERE art_create_date <= p.relevant_date GROUP BY 1, 2""",
         "deals": """SELECT p.account_id, p.relevant_date, count(DISTINCT CASE WHEN p.relevant_date <= enddate THEN startdate END) AS n_active_contracts,
-            count(DISTINCT CASE WHEN tier = '1-URGENT' AND p.relevant_date <= enddate THEN startdate END) AS count_ent
+            count(DISTINCT CASE WHEN tier = '1-URGENT' AND p.relevant_date <= enddate THEN startdate END) AS count_ent,
+            count(DISTINCT CASE WHEN tier = '2-HIGH' AND p.relevant_date <= enddate THEN startdate END) AS count_prox
             FROM pop p JOIN contracts c USING (account_id) WHERE p.relevant_date >= date_trunc('month', startdate) GROUP BY 1, 2""",
     }
     usage_cols = ", ".join(f"{c}{s}" for s in _SUF.values() for c in cols)
@@ -313,35 +315,57 @@ def _matrix_sql(full: bool) -> str:
           coalesce(n_contacts, 0) AS n_contacts, coalesce(n_security_contacts, 0) AS n_security_contacts,
           coalesce(n_replys, 0) AS n_replys, coalesce(n_sent, 0) AS n_sent, coalesce(n_calls, 0) AS n_calls,
           coalesce(round(CASE WHEN n_sent > 0 THEN CAST(n_replys AS DOUBLE) / n_sent ELSE -1 END, 6), -1) AS replys_to_sent,
-          coalesce(days_since_reply, 1000) AS days_since_reply, n_active_contracts, count_ent
+          coalesce(days_since_reply, 1000) AS days_since_reply, n_active_contracts, count_ent, count_prox
           FROM pop p LEFT JOIN use_wide USING (account_id, relevant_date) LEFT JOIN people USING (account_id, relevant_date)
           LEFT JOIN mail USING (account_id, relevant_date) LEFT JOIN since USING (account_id, relevant_date)
           LEFT JOIN deals USING (account_id, relevant_date) LEFT JOIN accounts USING (account_id)"""
-        + (" WHERE n_windows = 5 AND count_ent = 0" if full else "")
+        + (" WHERE n_windows = 5 AND count_ent = 0 AND count_prox = 0" if full else "")
     )
 
 
-def feature_frame(r: Roles, full: bool = False):
-    """Population with usage, contacts, mail, recency and contract blocks."""
-    pop = r.pop()
-    snaps = r.usage(part=True)
+HELD = ["count_ent", "count_prox"]
+
+
+def _usage_windows(pop, snaps):
+    """Storage, users and repositories share environment, account and day: one block."""
     inner = {m: asof.mean(F.col(m)) for m in STORAGE + USERS}
     inner |= {
         n: asof.largest(F.when(F.col("package_type") == t, F.col("avg_repos")).otherwise(F.lit(0.0))) for n, t in PACKAGES.items()
     }
-    # storage, users and repositories share environment, account and day: one block
     use = asof.usage_block(pop, snaps, "environment_service_id", "art_create_date", inner, n_env="n_env")
-    use = rounded(use, list(inner))
-    use_wide = asof.widen_periods(use, [*inner, "n_env"], flag="n_windows")
-    tasks = r.usage(part=True).select(
-        "account_id", "subject", F.col("flag").alias("task_type"), F.col("art_create_date").alias("createddate")
-    )
+    return asof.widen_periods(rounded(use, list(inner)), [*inner, "n_env"], flag="n_windows")
+
+
+def _active(pop, contracts):
+    tiers = {"count_ent": F.col("tier") == "1-URGENT", "count_prox": F.col("tier") == "2-HIGH"}
+    return blocks.contracts_active(pop, contracts, "P", tiers).drop("is_cotermed")
+
+
+def feature_frame(r: Roles, full: bool = False):
+    """Population with usage, contacts, mail, recency and contract blocks.
+
+    With `full`, rows need all usage windows and no active contract of the named tiers. These
+    filters come first, contracts before usage, and what they leave reduces the population and the
+    facts of all other blocks.
+    """
+    pop, snaps = r.pop(), r.usage(part=True)
     people = r.table("orders").select(
         F.col("o_custkey").alias("account_id"), F.col("o_orderdate").alias("createddate"), F.col("o_orderpriority").alias("title")
     )
+    deals, required = _active(pop, r.contracts()), []
+    if full:
+        key, account = ["account_id", "relevant_date"], ["account_id"]
+        free = cut_lineage(wide.require_full_history(deals, None, 0, HELD))
+        held = free.select(*account).distinct()
+        pop = pop.join(free.select(*key), key, "left_semi")
+        use_wide = _usage_windows(pop, snaps.join(held, account, "left_semi"))
+        required = [cut_lineage(wide.require_full_history(use_wide.join(free, key), "n_windows", 5, HELD))]
+        held = required[0].select(*account).distinct()
+        pop = pop.join(required[0].select(*key), key, "left_semi")
+        snaps, people = snaps.join(held, account, "left_semi"), people.join(held, account, "left_semi")
+    tasks = snaps.select("account_id", "subject", F.col("flag").alias("task_type"), F.col("art_create_date").alias("createddate"))
     mail = rounded(blocks.email_activity(pop, tasks, "R", "A", "bolt", "N", "widget"), ["replys_to_sent"])
     since = blocks.days_since_activity(pop, tasks, "R", "A", "bolt", "widget")
-    deals = blocks.contracts_active(pop, r.contracts(), "P", {"count_ent": F.col("tier") == "1-URGENT"})
     zero = {c: 0 for c in ("n_windows", "n_contacts", "n_security_contacts", "n_replys", "n_sent", "n_calls")}
     defaults = {**zero, "replys_to_sent": -1.0, "days_since_reply": 1000, "territory": "unknown"}
     others = [
@@ -349,14 +373,9 @@ def feature_frame(r: Roles, full: bool = False):
         mail.drop("n_task_topic"),
         since.select("account_id", "relevant_date", "days_since_reply"),
     ]
-    deals = deals.drop("is_cotermed")
-    where_live = [r.accounts().select("account_id", "territory")]
-    if full:
-        # the filter needs both blocks, so they are inner and shrink the rest early
-        use_wide = use_wide.where("n_windows = 5")
-        deals = deals.where("count_ent = 0")
-        return wide.assemble(pop, others, defaults, where_live, required=[use_wide, deals])
-    return wide.assemble(pop, [use_wide, *others, deals], defaults, where_live)
+    if not full:
+        others += [_usage_windows(pop, snaps), deals]
+    return wide.assemble(pop, others, defaults, [r.accounts().select("account_id", "territory")], required=required)
 
 
 @query("feature_matrix", _matrix_sql(False))

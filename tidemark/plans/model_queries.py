@@ -264,8 +264,8 @@ def gmm(spark, path):
 
 @query("score_accounts")
 def score_accounts(spark, path):
-    """Fit on the past, score the live accounts, list the first 50 positives."""
+    """Fit on the past, score the live accounts, list the positives."""
     train, live = _in_out(Roles(spark, path))
     model = small_gbt().fit(models.assemble_vector(models.class_weights(train, "class"), FEATURES))
     scored = models.score_accounts(live.select("lead", *FEATURES), model, FEATURES, 0.5)
-    return scored.where("class_pred = 1").orderBy("lead").limit(50).select("lead", "class_pred_proba", "class_pred")
+    return scored.where("class_pred = 1").select("lead", "class_pred_proba", "class_pred")

@@ -174,6 +174,26 @@ def drop_zero_variance(spark, path):
     return rounded(prep.variance_table(df, list(_VAR)), ["std"])
 
 
+def _kept(df, cols):
+    """Which of the columns are still there, with their counts."""
+    rest = [c for c in cols if c in df.columns]
+    return df.select(*[F.col(c).cast("string").alias(c) for c in rest]).unpivot([], rest, "column", "value").groupBy("column").agg(F.count("value").alias("n"))
+
+
+@query(
+    "drop_flat_columns",
+    "WITH f AS (SELECT *, 1 AS one, 'same' AS word, CASE WHEN l_tax > 0 THEN 'x' END AS gap FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n FROM f HAVING count(DISTINCT {c}) {'' if n else f'+ max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)'} > 1" for c, n in _VAR.items()
+    ),
+)
+def drop_flat_columns(spark, path):
+    """The columns that the drop leaves."""
+    li = Roles(spark, path).table("lineitem")
+    df = li.select("*", F.lit(1).alias("one"), F.lit("same").alias("word"), F.when(F.col("l_tax") > 0, "x").alias("gap")).select(*_VAR)
+    return _kept(prep.drop_zero_variance(df), list(_VAR))
+
+
 _CORR = {"qty": "l_quantity", "price": "l_extendedprice", "disc": "l_discount", "net": "l_extendedprice * (1 - l_discount)", "tax": "l_tax", "line": "l_linenumber"}
 
 
@@ -188,6 +208,21 @@ def drop_by_correlation(spark, path):
     return rounded(prep.correlations(df, list(_CORR)), ["r"])
 
 
+@query(
+    "drop_correlated_columns",
+    "WITH f AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _CORR.items()) + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{b}' AS \"column\", count({b}) AS n FROM f HAVING " + (" AND ".join(f"coalesce(abs(corr({a}, {b})), 0) <= 0.9" for a in list(_CORR)[:i]) or "true")
+        for i, b in enumerate(_CORR)
+    ),
+)
+def drop_correlated_columns(spark, path):
+    """The columns that the drop leaves."""
+    li = Roles(spark, path).table("lineitem")
+    df = li.select(*[F.expr(e).alias(n) for n, e in _CORR.items()])
+    return _kept(prep.drop_by_correlation(df, list(_CORR), 0.9), list(_CORR))
+
+
 @query(
     "encode_categories",
     " ".join(
