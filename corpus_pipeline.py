@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run` writes to the
 shared folder and reads again as the next stage's input.
+
+Defined cases, in every stage: a null or empty text has no letter, so language
+identification drops it, and the other stages keep it as a document without words;
+rows with a null key are no copy of another row and are judged one by one; repeated rows are
+copies, of which near-copy removal keeps those of the smallest key, so rows that are equal in
+their key too all stay or all go; ties go by the smallest key; an empty table stays empty; other columns pass
+through under their names, also where an operator's results are called the same.
 """
 
 from __future__ import annotations
@@ -11,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import decontaminate, language, mixing, near_dup, sharding
 from tidemark.llm.queries import SHARDS, WORD, contaminated, table, targets
 from tidemark.llm.store import Scratch, restored
+from tidemark.llm.suffix_dedup import packed, unpacked
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -24,8 +32,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
-    return restored(near_dup.near_duplicates(docs).where("kept"), docs.columns, near_dup.RESULTS)
+    """One document of each component of near copies. What goes is decided on keys; the
+    documents then move once, their texts packed."""
+    judged = near_dup.near_duplicates(docs.select("doc_id", "text"))
+    gone = judged.where("NOT kept").select("doc_id").distinct()
+    return unpacked(packed(docs, "text").join(gone.hint("merge"), "doc_id", "left_anti"), "text").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
