@@ -24,7 +24,7 @@ keys alone is null; extra columns pass through; an empty table gives no rows.
 
 from __future__ import annotations
 
-from math import ceil, comb, log2
+from math import ceil, comb
 from typing import Iterator
 
 import numpy as np
@@ -141,6 +141,20 @@ def grouped_bits(together: np.ndarray, n: int, groups: int) -> list[list[int]]:
     return out
 
 
+def partitions_for(n: int, distance: int) -> int:
+    """How many partitions cost least for n fingerprints of independent bits."""
+
+    def cost(parts: int) -> float:
+        total = 0.0
+        for i in range(parts):
+            width, t = 64 // parts, (distance + 1) // parts + (i < (distance + 1) % parts) - 1
+            probes = sum(comb(width, e) for e in range(t + 1))
+            total += probes * (PROBE + n / 2**width)
+        return total
+
+    return min(range(1, distance + 2), key=cost)
+
+
 def projected(h: np.ndarray, bits: list[int]) -> np.ndarray:
     """The named bits of each fingerprint, packed."""
     out = np.zeros(len(h), np.uint64)
@@ -277,7 +291,7 @@ def links_within(classes: DataFrame, distance: int, scratch: Scratch) -> DataFra
     """(a, b): enough of the pairs of distinct fingerprints within `distance` bits to connect all of
     them. `classes`: (fp, copies)."""
     n = classes.count()
-    parts = max(2, min(distance + 1, int(64 // max(1, ceil(log2(max(2, n)))))))
+    parts = partitions_for(n, distance)
     groups = grouped_bits(co_occurrence(classes), n, parts)
     subs = [s for bits in groups for s in halves(bits)]
     share_of = iter(distance_shares(x, n, distance) for x in sub_histograms(classes, subs))
