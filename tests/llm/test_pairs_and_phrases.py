@@ -78,17 +78,22 @@ def test_long_texts_are_cut_where_pieces_end():
 
 
 def test_stripes_merge_over_many_batches(spark):
-    rows = [("en", "p", 0, 7, [f"w{i % 500}", None], [1, 2]) for i in range(3000)] + [("en", "q", 0, 8, ["w1"], [5]), ("de", "p", 1, 9, ["w1"], [5])]
+    rows = [(4, ["en"], ["p"], [2], [f"w{i % 500}", None], [1, 2]) for i in range(3000)] + [(4, ["de", "en"], ["p", "q"], [1, 2], ["w1", "w1", "w2"], [5, 5, 1]), (9, ["en"], ["p"], [1], ["w1"], [7])]
     partial = spark.createDataFrame(rows, phrases.SHAPE)
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
     try:
-        got = {(r.lang, r.prefix): r for r in phrases.merge(partial, 2).collect()}
+        got = sorted((r.lang, r.prefix, r.total, sorted(zip(r.words, r.counts))) for r in phrases.merge(partial, 2).collect())
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    p = got["en", "p"]
-    assert p.total == 9000 and dict(zip(p.words, p.counts)) == {f"w{i}": 6 for i in range(500)}
-    assert (got["en", "q"].total, got["de", "p"].total) == (5, 5) and len(got) == 3
+    assert got == [("de", "p", 5, [("w1", 5)]), ("en", "p", 7, [("w1", 7)]), ("en", "p", 9000, sorted((f"w{i}", 6) for i in range(500))), ("en", "q", 6, [("w1", 5)])]
+
+
+def test_stripes_that_do_not_fit_are_emitted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 50)
+    monkeypatch.setattr(phrases, "PIECE_BYTES", 2000)
+    df = spark.createDataFrame(phrase_rows(), SCHEMA).repartition(2)
+    assert sorted(map(tuple, phrases.collocations(df, least=3).collect())) == brute_phrases([(r[1], r[2]) for r in phrase_rows()], 3)
 
 
 def test_residue_products_are_exact_and_signed():

@@ -5,18 +5,20 @@ stripes of a few MB of text, emit one row a stripe, and rows of one prefix are m
 elementwise where they meet. The merged stripes hold everything that the scores need: an
 entry is a phrase one word longer and its count, the sum of a stripe is the count of its
 prefix, the largest entry is the best extension to the right, and the largest entry by
-phrase without its first word is the best extension to the left.
+phrase without its first word is the best extension to the left. The stripe of no word counts
+the words of a language.
 
-Stripes are built for prefixes of no word, of one, of two and so on. The stripe of no word
-counts the words of a language. A longer phrase is no more frequent than its parts, so from
-the second level on only frequent prefixes have a stripe, and a next word whose phrase
-without the first word is rare goes, like the end of a piece, under the null entry, which
-keeps the stripe's sum whole. What is frequent reaches the tasks as one bit array of
-fixed size; a bit set by chance costs work and changes nothing.
+A phrase is no more frequent than its parts, and most phrases are rare. Before stripes are
+built, tasks count hashes of phrases, cut to `SLOT_BITS` bits, by length: words, then pairs of words that may be
+frequent, then longer phrases of such pairs. Slots that reach the least count set a bit in
+an array of fixed size, which all tasks get. Where a phrase has no bit, it is rare for sure: it gets no
+stripe, and as an extension it goes, like the end of a piece, under the null entry, which keeps the
+stripe's sum whole. A bit set by chance costs work and changes nothing.
 
-Long stripes (of no word, of very common words) are kept in `SEGMENTS` parts by the hash of
-the next word, so that no task holds the counter of a whole vocabulary. Sums, scores and
-subsumption are joins and aggregates of the frequent stripes only.
+A task adds up its stripes over all of its text, as far as `HELD` entries go, and packs them by
+bucket into rows. A stripe is kept in `SEGMENTS` parts by the hash of the next word, each in a bucket
+of its own, so that no task holds the counter of a whole vocabulary. Sums, scores and subsumption are joins and aggregates of the
+frequent entries only.
 
 Defined cases: a null or empty text has no words; a null language is `und`, as if it were
 written so; rows are counted one by one, so repeated rows count as often as they stand;
@@ -42,11 +44,14 @@ GAP = HARD.copy()
 GAP[[0x20, 0x09]] = True
 NO_LANGUAGE = "und"
 SEGMENTS = 64
-BITS = 26
+SLOT_BITS, BLOCK_BITS, SHARED = 32, 20, 64
 PIECE_BYTES = 8 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SHAPE = "lang string, prefix string, segment int, mark long, words array<string>, counts array<long>"
-MERGED = "lang string, prefix string, total long, words array<string>, counts array<long>, marks array<long>"
+BUCKETS = 4096
+HELD = 1 << 21
+SHAPE = "bucket int, langs array<string>, prefixes array<string>, sizes array<int>, words array<string>, counts array<long>"
+ENTRY = pa.schema([("bucket", pa.int32()), ("lang", pa.large_string()), ("prefix", pa.large_string()), ("word", pa.large_string()), ("count", pa.int64())])
+MERGED = "lang string, prefix string, total long, words array<string>, counts array<long>"
 
 
 def word_hash(words: pa.Array) -> np.ndarray:
@@ -58,9 +63,13 @@ def extended(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * STEP + word)
 
 
+def slot_of(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    slot = (h >> np.uint64(6)) & np.uint64(len(bits) - 1)
-    return (bits[slot] >> (h & np.uint64(63))) & np.uint64(1) == 1
+    bit = slot_of(h) // SHARED
+    return bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
 
 
 def dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,57 +106,208 @@ class Tokens:
         self.left = np.repeat(begin + size, size) - np.arange(len(start))
 
 
-def local_stripes(tokens: Tokens, language: pa.Array, size: int, bits: np.ndarray | None) -> pa.RecordBatch | None:
-    """The stripes of `size` words of one buffer. `language`: a name per text."""
-    t, wide = tokens, len(tokens.vocabulary) + 1
-    if not len(t.code):
-        return None
+def grams(t: Tokens, language: pa.Array, known: dict[int, np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, first words, hashes) of the phrases of 1 to `longest` words that may be frequent, judged
+    by the bit arrays in `known` (by size) and by their parts."""
+    hashes, named = word_hash(t.vocabulary), language.dictionary_encode()
+    h = word_hash(named.dictionary)[named.indices.to_numpy(zero_copy_only=False)[t.row]]
+    at, alive = np.arange(len(t.code)), np.ones(len(t.code) + 1, bool)
+    for size in range(1, longest + 1):
+        fits = (t.left[at] >= size) & alive[at + 1] if size > 1 else np.ones(len(at), bool)
+        at = at[fits]
+        h = extended(h[fits], hashes[t.code[at + size - 1]])
+        if size in known:
+            keep = has(known[size], h)
+            at, h = at[keep], h[keep]
+        alive = np.zeros(len(t.code) + 1, bool)
+        alive[at] = True
+        yield size, at, h
+
+
+def tokens_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[Tokens, pa.Array]]:
+    """The tokens of a few MB of (lang, text) at a time, with the languages of their texts."""
+    for batch in batches:
+        for rows, data, at in pieces(batch, "text", limit):
+            for some, where in parts_of(data, at, limit):
+                t = Tokens(some, where)
+                if len(t.code):
+                    yield t, rows.column(0).cast(pa.large_string())
+
+
+def slot_counts(docs: DataFrame, sizes: list[int], known, limit: int) -> DataFrame:
+    """(block, slots, counts): how often the hash slots of phrases of these sizes occur, packed by
+    block of slots; one row a block and buffer of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, language in tokens_of(batches, limit):
+            for size, _, h in grams(t, language, known.value, sizes[-1]):
+                if size not in sizes or not len(h):
+                    continue
+                slots = np.sort(slot_of(h))
+                first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
+                counts, slots = np.diff(np.append(first, len(slots))).astype(np.int32), slots[first]
+                block = slots >> BLOCK_BITS
+                row = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                offsets = pa.array(np.append(row, len(slots)).astype(np.int32))
+                low = (slots & ((1 << BLOCK_BITS) - 1)).astype(np.int32)
+                number = (size << (SLOT_BITS - BLOCK_BITS)) + block[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(low)), pa.ListArray.from_arrays(offsets, pa.array(counts))],
+                    ["block", "slots", "counts"],
+                )
+
+    return docs.select("lang", "text").mapInArrow(run, "block int, slots array<int>, counts array<int>")
+
+
+def frequent_blocks(counted: DataFrame, least: int) -> DataFrame:
+    """(block, bits): a bit for every `SHARED` neighbouring slots of which one reaches `least`."""
+    wide = 1 << BLOCK_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, now, touched, held = np.zeros(wide, np.int64), None, [], 0
+
+        def closed() -> pa.RecordBatch:
+            used = np.concatenate(touched)
+            bits = np.zeros(wide // SHARED, bool)
+            bits[used[sums[used] >= least] // SHARED] = True
+            sums[used] = 0
+            found = [np.packbits(bits, bitorder="little").tobytes()] if bits.any() else []
+            return pa.RecordBatch.from_arrays([pa.array([now] * len(found), pa.int32()), pa.array(found, pa.binary())], ["block", "bits"])
+
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            begin = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else []
+            for lo, hi in zip(begin, np.append(begin, len(blocks))[1:]):
+                if now is not None and blocks[lo] != now:
+                    yield closed()
+                    touched, held = [], 0
+                now = int(blocks[lo])
+                part = batch.slice(lo, hi - lo)
+                slots = part.column(1).flatten().to_numpy()
+                np.add.at(sums, slots, part.column(2).flatten().to_numpy())
+                touched.append(slots)
+                held += len(slots)
+                if held > 2 * wide:
+                    touched = [np.unique(np.concatenate(touched))]
+                    held = len(touched[0])
+        if now is not None:
+            yield closed()
+
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, bits binary")
+
+
+def bit_arrays(docs: DataFrame, longest: int, least: int, limit: int) -> dict[int, np.ndarray]:
+    """For phrases of 1 to `longest` words an array of 2^SLOT_BITS / SHARED bits: what may be frequent."""
+    context, known = docs.sparkSession.sparkContext, {}
+    bytes_each = 1 << (BLOCK_BITS - 3)
+    bytes_each //= SHARED
+    for sizes in ([1], [2], list(range(3, longest + 1))):
+        sizes = [s for s in sizes if s <= longest]
+        if not sizes:
+            continue
+        shared = context.broadcast(dict(known))
+        got = frequent_blocks(slot_counts(docs, sizes, shared, limit), least).toArrow()
+        known |= {s: np.zeros(bytes_each << (SLOT_BITS - BLOCK_BITS), np.uint8) for s in sizes}
+        for block, bits in zip(got.column("block").to_pylist(), got.column("bits")):
+            size, block = divmod(block, 1 << (SLOT_BITS - BLOCK_BITS))
+            known[size][block * bytes_each : (block + 1) * bytes_each] = np.frombuffer(bits.as_buffer(), np.uint8)
+        shared.unpersist()
+    return known
+
+
+def local_stripes(t: Tokens, language: pa.Array, known: dict[int, np.ndarray], longest: int) -> Iterator[pa.Table]:
+    """The entries of the stripes of no word to `longest` - 1 words of one buffer. `language`: a name per text."""
+    wide = len(t.vocabulary) + 1
     hashes = word_hash(t.vocabulary)
-    named = language.dictionary_encode()
-    ids = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)[t.row]
-    mark = word_hash(named.dictionary)
-    at, first = np.arange(len(t.code)), None
-    for k in range(size):
-        at = at[t.left[at] > k]
-        keys, place = dense(ids[at] * wide + t.code[at + k])
-        found = extended(mark[keys // wide], hashes[keys % wide])
-        frequent = has(bits, found)
-        at, place = at[frequent[place]], place[frequent[place]]
-        number = np.cumsum(frequent) - 1
-        mark = found[frequent]
-        ids = np.full(len(t.code) + 1, -1, np.int64)
-        ids[at] = number[place]
-    if not len(at):
-        return None
-    prefix = ids[at]
-    after = np.full(len(at), -1, np.int64)
-    if size == 0:
-        after = t.code[at]
-    else:
-        goes = (t.left[at] > size) & (ids[at + 1] >= 0)
-        after[goes] = t.code[at[goes] + size]
+    ids = language.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)[t.row]
+    before = np.arange(len(t.code))
+    for size, at, _ in grams(t, language, known, longest):
+        goes = np.zeros(len(t.code), bool)
+        goes[at] = True
+        after = np.full(len(before), -1, np.int64)
+        after[goes[before]] = t.code[before[goes[before]] + size - 1]
+        yield stripe_entries(t, language, hashes, size - 1, before, ids[before], after)
+        _, place = dense(ids[at] * wide + t.code[at + size - 1])
+        ids = np.full(len(t.code), -1, np.int64)
+        ids[at] = place
+        before = at
+        if not len(at):
+            return
+
+
+def stripe_entries(t: Tokens, language: pa.Array, hashes: np.ndarray, size: int, at: np.ndarray, prefix: np.ndarray, after: np.ndarray) -> pa.Table:
+    """The entries of stripes, from places: the first word, the number of the prefix and the next
+    word's code (-1 for none)."""
+    wide = len(hashes) + 1
     keys, place = dense(prefix * wide + after + 1)
     counts = np.bincount(place, minlength=len(keys))
     prefix_of, word_of = keys // wide, keys % wide - 1
-    segment = np.where(word_of < 0, 0, (hashes[word_of] % np.uint64(SEGMENTS)).astype(np.int64))
-    order = np.lexsort((word_of, segment, prefix_of))
-    prefix_of, word_of, segment, counts = prefix_of[order], word_of[order], segment[order], counts[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (prefix_of[1:] != prefix_of[:-1]) | (segment[1:] != segment[:-1])
-    row = np.flatnonzero(new)
-    offsets = pa.array(np.append(row, len(order)).astype(np.int32))
-    whose = np.zeros(len(mark), np.int64)
+    whose = np.zeros(int(prefix.max()) + 1 if len(prefix) else 0, np.int64)
     whose[prefix] = at
-    begin = whose[prefix_of[row]]
+    begin = whose[prefix_of]
+    named = language.dictionary_encode()
+    h = word_hash(named.dictionary)[named.indices.to_numpy(zero_copy_only=False)[t.row[begin]]]
+    for i in range(size):
+        h = extended(h, hashes[t.code[begin + i]])
+    segment = np.where(word_of < 0, np.uint64(0), hashes[word_of] % np.uint64(SEGMENTS))
+    bucket = (mix(h + segment) % np.uint64(BUCKETS)).astype(np.int32)
     names = [t.vocabulary.take(pa.array(t.code[begin + i])) for i in range(size)]
-    written = pc.binary_join_element_wise(*names, pa.scalar(" ", pa.large_string())) if size else pa.array([""] * len(row))
-    return pa.RecordBatch.from_arrays(
-        [
-            language.take(pa.array(t.row[begin])).cast(pa.string()), written.cast(pa.string()), pa.array(segment[row].astype(np.int32)), pa.array(mark[prefix_of[row]].view(np.int64)),
-            pa.ListArray.from_arrays(offsets, t.vocabulary.take(pa.array(word_of, mask=word_of < 0)).cast(pa.string())), pa.ListArray.from_arrays(offsets, pa.array(counts)),
-        ],
-        ["lang", "prefix", "segment", "mark", "words", "counts"],
-    )
+    written = pc.binary_join_element_wise(*names, pa.scalar(" ", pa.large_string())) if size else pa.array([""] * len(keys), pa.large_string())
+    word = t.vocabulary.take(pa.array(word_of, mask=word_of < 0))
+    return pa.table([pa.array(bucket), language.take(pa.array(t.row[begin])), written, word, pa.array(counts)], schema=ENTRY)
+
+
+class Counters:
+    """Entries of many stripes, added up whenever they have doubled."""
+
+    def __init__(self):
+        self.parts, self.size, self.known = [], 0, 1 << 18
+
+    def add(self, entries: pa.Table) -> None:
+        self.parts.append(entries)
+        self.size += len(entries)
+        if self.size > 2 * self.known:
+            self.parts = [self.summed()]
+            self.size = len(self.parts[0])
+            self.known = max(self.known, self.size)
+
+    def summed(self) -> pa.Table:
+        whole = pa.concat_tables(self.parts) if self.parts else ENTRY.empty_table()
+        got = whole.group_by(["bucket", "lang", "prefix", "word"], use_threads=False).aggregate([("count", "sum")])
+        return got.rename_columns({"count_sum": "count"}).select(ENTRY.names).combine_chunks()
+
+
+def runs(*columns: pa.Array) -> np.ndarray:
+    """Where the rows of sorted columns begin a new value."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def flat(table: pa.Table, name: str) -> pa.Array:
+    c = table.column(name).combine_chunks()
+    return pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
+
+
+def packed_stripes(entries: pa.Table) -> Iterator[pa.RecordBatch]:
+    """One row a bucket: its stripes, each with its number of entries, and their entries."""
+    if not len(entries):
+        return
+    entries = entries.sort_by([("bucket", "ascending"), ("lang", "ascending"), ("prefix", "ascending")])
+    bucket, lang, prefix, word, count = (flat(entries, n) for n in ENTRY.names)
+    stripe, row = runs(bucket, lang, prefix), runs(bucket)
+    sizes = np.diff(np.append(stripe, len(entries))).astype(np.int32)
+    own = pa.array(np.append(np.searchsorted(stripe, row), len(stripe)).astype(np.int32))
+    every = pa.array(np.append(row, len(entries)).astype(np.int32))
+    at = pa.array(stripe)
+    lists = [pa.ListArray.from_arrays(own, x) for x in (lang.take(at).cast(pa.string()), prefix.take(at).cast(pa.string()), pa.array(sizes))]
+    lists += [pa.ListArray.from_arrays(every, x) for x in (word.cast(pa.string()), count)]
+    whole = pa.RecordBatch.from_arrays([bucket.take(pa.array(row)), *lists], ["bucket", "langs", "prefixes", "sizes", "words", "counts"])
+    for lo in range(0, whole.num_rows, 512):
+        yield whole.slice(lo, 512)
 
 
 def parts_of(data: np.ndarray, at: np.ndarray, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -161,124 +321,55 @@ def parts_of(data: np.ndarray, at: np.ndarray, limit: int) -> list[tuple[np.ndar
     return [(data[a:b], np.array([0, b - a])) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def stripes(docs: DataFrame, size: int, bits=None, limit: int = PIECE_BYTES) -> DataFrame:
-    """Partial stripes of `size` words of (lang, text). `bits`: a broadcast of the frequent phrases."""
+def stripes(docs: DataFrame, longest: int, known, limit: int, most: int) -> DataFrame:
+    """Partial stripes of no word to `longest` - 1 words of (lang, text). `known`: a broadcast of bit
+    arrays; a task holds up to about `most` entries before it emits them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if bits is None else bits.value
-        for batch in batches:
-            for rows, data, at in pieces(batch, "text", limit):
-                for some, where in parts_of(data, at, limit):
-                    got = local_stripes(Tokens(some, where), rows.column(0).cast(pa.large_string()), size, known)
-                    for lo in range(0, got.num_rows if got else 0, 1 << 16):
-                        yield got.slice(lo, 1 << 16)
+        held = Counters()
+        for t, language in tokens_of(batches, limit):
+            for entries in local_stripes(t, language, known.value, longest):
+                held.add(entries)
+                if held.size > most:
+                    yield from packed_stripes(held.summed())
+                    held = Counters()
+        yield from packed_stripes(held.summed())
 
     return docs.select("lang", "text").mapInArrow(run, SHAPE)
 
 
-def summed(run: np.ndarray, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Counts added up by (run, word), runs in order."""
-    coded = words.dictionary_encode()
-    code = np.nan_to_num(coded.indices.to_numpy(zero_copy_only=False), nan=-1).astype(np.int64) + 1
-    wide = len(coded.dictionary) + 1
-    keys = run * wide + code
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    sums = np.add.reduceat(counts[order], first) if len(first) else counts[:0]
-    word = keys[first] % wide - 1
-    return keys[first] // wide, coded.dictionary.take(pa.array(word, mask=word < 0)), sums
-
-
-def merged_rows(lang: list, prefix: list, mark: np.ndarray, run: np.ndarray, words: pa.Array, counts: np.ndarray, least: int) -> pa.RecordBatch:
-    """Merged stripes: the sum of all entries, and the entries of at least `least`."""
-    run, words, counts = summed(run, words, counts)
-    total = np.zeros(len(lang), np.int64)
-    np.add.at(total, run, counts)
-    keep = (counts >= least) & ~words.is_null().to_numpy(zero_copy_only=False)
-    run, words, counts = run[keep], words.filter(pa.array(keep)), counts[keep]
-    offsets = pa.array(np.searchsorted(run, np.arange(len(lang) + 1)).astype(np.int32))
-    marks = extended(mark.view(np.uint64)[run], word_hash(words))
-    lists = [pa.ListArray.from_arrays(offsets, x) for x in (words.cast(pa.string()), pa.array(counts), pa.array(marks.view(np.int64)))]
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(prefix, pa.string()), pa.array(total), *lists], ["lang", "prefix", "total", "words", "counts", "marks"])
-
-
 def merge(partial: DataFrame, least: int) -> DataFrame:
-    """Stripes of one prefix and segment merged elementwise, as they pass in sorted order.
-
-    A task holds one batch and one stripe; a stripe over many batches is compacted whenever
-    it has doubled.
-    """
-    keys = ["lang", "prefix", "segment"]
+    """Stripes merged elementwise, bucket by bucket as they pass in sorted order: for each prefix (and
+    bucket) the sum of all entries, and the entries of at least `least`. A task holds one bucket's
+    distinct entries."""
+
+    def merged(bucket: Counters) -> pa.RecordBatch:
+        entries = bucket.summed().sort_by([("lang", "ascending"), ("prefix", "ascending")])
+        lang, prefix, word, count = (flat(entries, n) for n in ENTRY.names[1:])
+        counts, stripe = count.to_numpy(), runs(lang, prefix)
+        total = np.add.reduceat(counts, stripe)
+        keep = np.flatnonzero((counts >= least) & ~word.is_null().to_numpy(zero_copy_only=False))
+        offsets = pa.array(np.searchsorted(keep, np.append(stripe, len(counts))).astype(np.int32))
+        at = pa.array(stripe)
+        lists = [pa.ListArray.from_arrays(offsets, x) for x in (word.take(pa.array(keep)).cast(pa.string()), pa.array(counts[keep]))]
+        return pa.RecordBatch.from_arrays([lang.take(at).cast(pa.string()), prefix.take(at).cast(pa.string()), pa.array(total), *lists], ["lang", "prefix", "total", "words", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, entries, size, compact = None, [], 0, 1 << 20
-
-        def closed() -> pa.RecordBatch:
-            words, counts = pa.concat_arrays([e[0] for e in entries]), np.concatenate([e[1] for e in entries])
-            return merged_rows([held[0]], [held[1]], np.array([held[3]]), np.zeros(len(counts), np.int64), words, counts, least)
-
+        now, held = None, Counters()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = np.zeros(batch.num_rows, bool)
-            for c in keys:
-                x = batch.column(batch.schema.get_field_index(c))
-                new[1:] |= pc.not_equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
-            new[0] = True
-            begin = np.append(np.flatnonzero(new), batch.num_rows)
-            lists, numbers = batch.column(4), batch.column(5)
-            entry = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-            words, counts = lists.flatten(), numbers.flatten().to_numpy(zero_copy_only=False)
-            named = [tuple(batch.column(i)[int(r)].as_py() for i in range(4)) for r in (0, begin[-2])]
-            stop = 0
-            if held is not None and held[:3] == named[0][:3]:
-                stop = 1
-                entries.append((words.slice(0, entry[begin[1]]), counts[: entry[begin[1]]]))
-                size += int(entry[begin[1]])
-                if len(begin) == 2:
-                    if size > 2 * compact:
-                        _, w, c = summed(np.zeros(size, np.int64), pa.concat_arrays([e[0] for e in entries]), np.concatenate([e[1] for e in entries]))
-                        entries, size = [(w.cast(pa.string()), c)], len(c)
-                        compact = max(compact, size)
-                    continue
-            if held is not None:
-                yield closed()
-            inner = begin[stop:-1]
-            if len(inner) > 1:
-                lo, hi = entry[inner[0]], entry[inner[-1]]
-                run_of = np.repeat(np.arange(len(inner) - 1), np.diff(entry[inner]))
-                rows = pa.array(inner[:-1])
-                yield merged_rows(batch.column(0).take(rows).to_pylist(), batch.column(1).take(rows).to_pylist(), batch.column(3).take(rows).to_numpy(), run_of, words.slice(lo, hi - lo), counts[lo:hi], least)
-            held, lo = named[1], entry[begin[-2]]
-            entries, size, compact = [(words.slice(lo), counts[lo:])], len(counts) - int(lo), 1 << 20
-        if held is not None:
-            yield closed()
-
-    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, MERGED)
-
-
-def bit_array(merged: list[DataFrame], bits: int) -> np.ndarray:
-    """A bit for the hash of every frequent phrase; at most 2^(bits-6) numbers reach the driver."""
-    h = merged[0].select(F.explode("marks").alias("h"))
-    for m in merged[1:]:
-        h = h.unionByName(m.select(F.explode("marks").alias("h")))
-    slots = h.select(F.expr(f"shiftrightunsigned(h, 6) & {(1 << (bits - 6)) - 1}L").alias("slot"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
-    got = slots.groupBy("slot").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[got.column("slot").to_numpy()] = got.column("bit").to_numpy().view(np.uint64)
-    return out
-
+            for i in range(batch.num_rows):
+                bucket, (langs, prefixes, sizes, words, counts) = batch.column(0)[i].as_py(), (batch.column(c)[i].values for c in range(1, 6))
+                if bucket != now and now is not None:
+                    yield merged(held)
+                    held = Counters()
+                now = bucket
+                stripe = pa.array(np.repeat(np.arange(len(sizes)), sizes.to_numpy()))
+                named = [x.take(stripe).cast(pa.large_string()) for x in (langs, prefixes)]
+                held.add(pa.table([pa.array(np.full(len(words), bucket, np.int32)), *named, words.cast(pa.large_string()), counts], schema=ENTRY))
+        if now is not None:
+            yield merged(held)
 
-def frequent_stripes(docs: DataFrame, longest: int, least: int, scratch: Scratch, bits: int = BITS) -> list[DataFrame]:
-    """The merged stripes of 0, 1, ... words (lang, prefix, total, words, counts, marks), by segment."""
-    out: list[DataFrame] = []
-    for size in range(longest):
-        known = docs.sparkSession.sparkContext.broadcast(bit_array(out, bits)) if size else None
-        out.append(scratch.keep(merge(stripes(docs, size, known), least)))
-        if known is not None:
-            known.unpersist()
-    return out
+    return partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, MERGED)
 
 
 def collocations(
@@ -292,19 +383,18 @@ def collocations(
     """
     scratch = Scratch(docs.sparkSession)
     d = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(f"`{text}`").alias("text"))
-    levels = frequent_stripes(d, longest, least, scratch)
-    sizes = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
-    found, sums = None, None
-    for level in levels[1:]:
-        entry = F.explode(F.arrays_zip("words", "counts")).alias("e")
-        phrases = level.select("lang", "prefix", entry).select("lang", F.concat_ws(" ", "prefix", "e.words").alias("phrase"), F.col("e.counts").alias("a"))
-        totals = level.groupBy("lang", F.col("prefix").alias("part")).agg(F.sum("total").alias("f"), F.max(F.array_max("counts")).alias("right"))
-        found, sums = (phrases, totals) if found is None else (found.unionByName(phrases), sums.unionByName(totals))
-    found, sums = scratch.keep(found), scratch.keep(sums)
+    shared = docs.sparkSession.sparkContext.broadcast(bit_arrays(d, longest, least, PIECE_BYTES))
+    merged = scratch.keep(merge(stripes(d, longest, shared, PIECE_BYTES, HELD), least))
+    shared.unpersist()
+    sizes = merged.where("prefix = ''").groupBy("lang").agg(F.sum("total").alias("n"))
+    longer = merged.where("prefix != ''")
+    entry = longer.select("lang", "prefix", F.explode(F.arrays_zip("words", "counts")).alias("e"))
+    found = scratch.keep(entry.select("lang", F.concat_ws(" ", "prefix", "e.words").alias("phrase"), F.col("e.counts").alias("a")))
+    sums = scratch.keep(longer.groupBy("lang", F.col("prefix").alias("part")).agg(F.sum("total").alias("f"), F.max(F.array_max("counts")).alias("right")))
 
     # the best extensions, by phrase
     tail = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
-    left = found.where(F.instr("phrase", " ") > 0).groupBy("lang", tail.alias("phrase")).agg(F.max("a").alias("left"))
+    left = found.groupBy("lang", tail.alias("phrase")).agg(F.max("a").alias("left"))
     right = sums.select("lang", F.col("part").alias("phrase"), "right")
     around = F.greatest(F.coalesce("left", F.lit(0)), F.coalesce("right", F.lit(0)))
     alone = found.join(left, ["lang", "phrase"], "left").join(right, ["lang", "phrase"], "left").where(100 * around < subsumed_percent * F.col("a"))
