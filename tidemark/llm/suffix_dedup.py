@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .store import Scratch, aside, free_name, parts
-from .words import pieces, prefix, run_hash
+from .words import pieces, prefix, run_hash, sampling_hash
 
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 DEPTH = 200
@@ -74,7 +74,7 @@ def runs_of(data: np.ndarray, at: np.ndarray, depth: int, gram: int) -> dict[str
             continue
         sums = prefix(part.astype(np.uint64) + np.uint64(1))
         place = np.arange(len(part) - gram + 1)
-        grams = run_hash(sums, place, place + gram)
+        grams = sampling_hash(part, gram)
         best = (sliding_min(grams & ~PLACE | place.astype(np.uint64), depth - gram + 1) & PLACE).astype(np.int64)
         start = np.arange(len(best)) + lo
         row = np.searchsorted(at, start, "right") - 1

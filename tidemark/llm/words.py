@@ -20,6 +20,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 PRIMES = (2147483647, 2147483629)
 BASES = (1315423911, 987654323)
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 PIECE = 1 << 21
 
 _powers: dict[int, np.ndarray] = {}
@@ -72,6 +74,14 @@ def run_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix(out)
 
 
+def sampling_hash(data: np.ndarray, k: int) -> np.ndarray:
+    """A cheap hash of every k neighbouring bytes, modulo 2^64: to choose places and to deal rows
+    out, where unequal bytes of one hash do no harm."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
+    return mix((sums[k:] - sums[:-k]) * powers(INVERSE, len(sums))[: len(sums) - k])
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of a batch with at most `limit` text bytes (or one row), as (rows, bytes, offsets)."""
     col = batch.column(batch.schema.get_field_index(column))
