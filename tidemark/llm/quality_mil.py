@@ -135,14 +135,18 @@ def train(x: np.ndarray, row: np.ndarray, y: np.ndarray, epochs: int, seed: int,
     return net
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", sample: int = 3000, max_chars: int = 50_000, epochs: int = 12, seed: int = 0, border: float = 0.5) -> Net:
-    """Learn from documents with a label 0 or 1.
+def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", sample: int = 3000, max_chars: int = 50_000, epochs: int = 12, seed: int = 0, border: float = 0.5, labels: DataFrame | None = None) -> Net:
+    """Learn from documents with a label 0 or 1, in a column or in a table `labels` by key. With a table,
+    keys and lengths meet the labels first, and only the drawn documents' texts move.
 
     About `sample` documents, shared equally by the two classes and drawn by a hash of `key`,
     of up to `max_chars` characters: this bound holds for the fit alone. Where a label 1 is as
     likely as a label 0, for classes of equal size, the score is `border`.
     """
-    known = labelled.where(F.col(label).isin(0, 1) & (F.coalesce(F.length(text), F.lit(0)) <= max_chars))
+    short = F.coalesce(F.length(text), F.lit(0)) <= max_chars
+    rows = labelled if labels is None else labelled.where(short).select(key).join(labels.select(key, label), key)
+    known = rows.where(F.col(label).isin(0, 1))
+    known = known.where(short) if labels is None else known
     sizes = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     shift = np.log(border / (1 - border))
     if len(sizes) < 2:
@@ -150,7 +154,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
         return Net(np.zeros((WIDTH, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, GATE)), np.zeros((HIDDEN, GATE)), np.zeros(GATE), np.zeros(HIDDEN), np.array([(rate - 0.5) * 20]))
     rate = F.coalesce(*[F.when(F.col(label) == k, F.lit(sample / 2 / c)) for k, c in sizes.items()])
     spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(1 << 30)
-    picked = known.where(spot < rate).select(text, label, key).limit(2 * sample)
+    if labels is None:
+        picked = known.where(spot < rate).select(text, label, key).limit(2 * sample)
+    else:
+        drawn = known.where(spot < rate).select(key, label).distinct().limit(2 * sample)
+        picked = labelled.where(short).join(F.broadcast(drawn), key).select(text, label, key)  # at most 2 * sample keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

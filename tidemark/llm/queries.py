@@ -70,7 +70,7 @@ def op3(spark, path):
     docs = table(spark, path, "documents").select("doc_id", "text")
     fold = language.remainder(F.col("doc_id"), 4) == 2
     labels = table(spark, path, "labels").select("doc_id", "quality").where(~fold & F.col("quality").isNotNull())
-    net = quality_mil.fit(docs.join(labels, "doc_id"), border=0.7, seed=3)
+    net = quality_mil.fit(docs, labels=labels, border=0.7, seed=3)
     s = quality_mil.score(docs, net)
     return s.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
