@@ -133,3 +133,11 @@ def test_rows_without_a_label_stay(spark):
     assert w == {0: 1.5, 1: 0.75, None: None} and models.class_weights(df, "y").count() == 40
     cut = models.folds(df, "y", ["k"], 5)
     assert cut.count() == 40 and {(r["y"], r["fold_0"]): r["count"] for r in cut.groupBy("y", "fold_0").count().collect()}[None, 3] == 2
+
+
+def test_checked_relations_fail_on_scores_that_say_nothing(spark):
+    from tidemark.plans.model_check_queries import apart, within
+
+    df = spark.range(400).select((F.col("id") % 4 == 0).alias("yes"), F.lit(0.3).alias("flat"), (F.xxhash64("id") % 1000 / 1000.0).alias("loose"), F.when(F.col("id") % 4 == 0, 0.9).otherwise(0.1).alias("good"))
+    row = df.agg(*[apart(F.col(c), F.col("yes"), 0.5).alias(c) for c in ("flat", "loose", "good")], within(F.col("good")).alias("inside"), within(F.when(F.col("yes"), F.col("good"))).alias("gaps")).first()
+    assert (row["flat"], row["loose"], row["good"], row["inside"], row["gaps"]) == (False, False, True, True, False)

@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import file_name, file_type, main_url, version_number, version_token
+from .order import PART, stretches
 
 
 def path_parts(df: DataFrame, col: str) -> DataFrame:
@@ -44,18 +45,21 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
     the very first, has no module, lies after day 28 or is xml; it still is the row
     the next one is compared with. The first row of a module's week only opens it.
 
-    The row before is looked up within a (module, day), and for a day's first row
-    from the last row of the module's day before: no module is sorted as a whole.
+    One scan: rows are range-partitioned by the input order and written, so a module or a
+    module's day of any size is spread over stretches. The row before is looked up inside the
+    stretch, and for its first row from the last row of the module's stretch before; files are
+    counted by their first row, whole stretches by their totals. Rows without module are left out.
     """
-    order = F.struct(F.col("date"), *[F.col(t) for t in tie])
-    base = df.select("date", "module_name", "file_name", "file_type", "version_num_value", *tie).withColumn("o__", order)
-    # previous version: inside the day, else the last of the module's previous day
-    in_day = Window.partitionBy("module_name", "date").orderBy(*tie)
-    rows = base.withColumn("prev__", F.lag(F.struct("version_num_value")).over(in_day))
-    days = base.groupBy("module_name", "date").agg(F.max_by(F.struct("version_num_value"), "o__").alias("last__"))
-    by_day = Window.partitionBy("module_name").orderBy("date")  # one row per day
-    days = days.select("module_name", "date", F.lag("last__").over(by_day).alias("before__"))
-    rows = rows.join(days, ["module_name", "date"])
+    place = ["date", *tie]
+    names = dict.fromkeys(["module_name", "date", "file_name", "file_type", "version_num_value", *tie])
+    base = stretches(df.select(*names), ["module_name"], [F.col(c).asc_nulls_first() for c in place])
+    base = base.withColumn("o__", F.struct(*place))
+    inside = Window.partitionBy("module_name", PART).orderBy(*place)
+    rows = base.withColumn("prev__", F.lag(F.struct("version_num_value")).over(inside))
+    state = base.groupBy("module_name", PART).agg(F.max_by(F.struct("version_num_value"), "o__").alias("last__"))
+    by_part = Window.partitionBy("module_name").orderBy(PART)  # one row per stretch
+    carried = state.select("module_name", PART, F.lag("last__").over(by_part).alias("before__"))
+    rows = rows.join(carried, ["module_name", PART])
     prev = F.coalesce("prev__", "before__")["version_num_value"]
     # the very first row of the input: the first by (module, date, tie)
     first = base.groupBy("module_name").agg(F.min("o__").alias("o__")).orderBy("module_name").limit(1)
@@ -72,6 +76,7 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
         "module_name",
         F.floor((F.dayofmonth("date") - 1) / 7 + 1).cast("int").alias("week_num"),
         "o__",
+        PART,
         F.when(v > prev, 1).otherwise(0).alias("up"),
         F.when(v == prev, 1).otherwise(0).alias("stuck"),
         F.when(low.contains("release"), 1).otherwise(0).alias("rel"),
@@ -83,21 +88,22 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
         (F.sum("stuck") - F.min_by("stuck", "o__")).alias("versioning_stuck_count"),
         F.sum("rel").alias("is_release"),
         F.sum("snap").alias("is_snapshot"),
-        F.max("o__").alias("upto__"),
+        F.max(F.struct("o__", PART)).alias("upto__"),
     )
-    # files seen by the week's last row: whole days before it as daily counts (bounded
-    # by the calendar), and the files of that one day
-    debut = base.groupBy("module_name", "file_name").agg(F.min("o__").alias("first__"))
-    debut = debut.select("module_name", F.col("first__.date").alias("day__"), "first__")
-    ends = weeks.select("module_name", "week_num", "upto__", F.col("upto__.date").alias("end__"))
-    daily = debut.groupBy("module_name", "day__").agg(F.count(F.lit(1)).alias("n"))
-    before = ends.join(daily, "module_name").where("day__ < end__").select("module_name", "week_num", "n")
-    on_day = (
-        ends.join(debut.withColumnRenamed("day__", "end__"), ["module_name", "end__"])
-        .where(F.col("first__") <= F.col("upto__"))
-        .select("module_name", "week_num", F.lit(1).cast("bigint").alias("n"))
+    # files seen by the week's last row: whole stretches before its own by their totals, and
+    # the files that begin in its own up to it (a module has four weeks)
+    debut = base.groupBy("module_name", "file_name").agg(F.min(F.struct("o__", PART)).alias("first__"))
+    debut = debut.select("module_name", F.col(f"first__.{PART}").alias(PART), F.col("first__.o__").alias("o__"))
+    ends = weeks.select("module_name", "week_num", F.col("upto__.o__").alias("end__"), F.col(f"upto__.{PART}").alias(PART))
+    begun = debut.groupBy("module_name", F.col(PART).alias("early__")).agg(F.count(F.lit(1)).alias("n"))
+    before = ends.join(begun, "module_name").where(F.col("early__") < F.col(PART)).select("module_name", "week_num", "n")
+    own = (
+        ends.join(debut, ["module_name", PART])
+        .where(F.col("o__") <= F.col("end__"))
+        .groupBy("module_name", "week_num")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    files = before.unionByName(on_day).groupBy("module_name", "week_num").agg(F.sum("n").alias("files_per_module"))
+    files = before.unionByName(own).groupBy("module_name", "week_num").agg(F.sum("n").alias("files_per_module"))
     return weeks.drop("upto__").join(files, ["module_name", "week_num"], "left").withColumn(
         "files_per_module", F.coalesce("files_per_module", F.lit(0))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("source_queries", "block_queries", "cohort_queries", "prep_queries", "evaluate_queries", "model_queries", "flow_queries")
+MODULES = ("source_queries", "block_queries", "cohort_queries", "prep_queries", "evaluate_queries", "model_queries", "model_check_queries", "flow_queries")
 
 
 def load_all() -> None:
