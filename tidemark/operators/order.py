@@ -43,6 +43,14 @@ def stretches(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Data
     return cut_lineage(df.repartitionByRange(*lead, *order).withColumn(PART, F.spark_partition_id()))
 
 
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], keep: Sequence[str], name: str) -> DataFrame:
+    """Columns `keep` of the rows, written in the order of their stretches, with a number that rises with
+    (by, order): the stretch in the bits from 33 on, the row inside it below."""
+    lead = [F.col(f"`{c}`").asc_nulls_first() for c in by]
+    rows = df.repartitionByRange(*lead, *order).sortWithinPartitions(*lead, *order)
+    return cut_lineage(rows.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias(name)))
+
+
 def offsets(placed: DataFrame, by: Sequence[str], sums: Mapping[str, Column], descending: bool = False) -> DataFrame:
     """Per group and stretch the sums over all stretches before it (a row per group and stretch)."""
     lead = F.desc(PART) if descending else F.asc(PART)

@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import file_name, file_type, main_url, version_number, version_token
-from .order import PART, stretches
+from .order import PART, numbered
 
 
 def path_parts(df: DataFrame, col: str) -> DataFrame:
@@ -45,27 +45,25 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
     the very first, has no module, lies after day 28 or is xml; it still is the row
     the next one is compared with. The first row of a module's week only opens it.
 
-    One scan: rows are range-partitioned by the input order and written, so a module or a
-    module's day of any size is spread over stretches. The row before is looked up inside the
-    stretch, and for its first row from the last row of the module's stretch before; files are
-    counted by their first row, whole stretches by their totals. Rows without module are left out.
+    One scan: rows are range-partitioned by the input order and written with their number in
+    it, so a module or a module's day of any size is spread over stretches. The row before is
+    looked up inside the stretch, and for its first row from the last row of the module's stretch
+    before; files are counted by their first row, whole stretches by their totals. Rows without
+    module are left out, but may be the very first.
     """
-    place = ["date", *tie]
-    names = dict.fromkeys(["module_name", "date", "file_name", "file_type", "version_num_value", *tie])
-    base = stretches(df.select(*names), ["module_name"], [F.col(c).asc_nulls_first() for c in place])
-    base = base.withColumn("o__", F.struct(*place))
-    inside = Window.partitionBy("module_name", PART).orderBy(*place)
+    keep = ["module_name", "date", "file_name", "file_type", "version_num_value"]
+    base = numbered(df, ["module_name"], [F.col(c).asc_nulls_first() for c in ("date", *tie)], keep, "at__")
+    first = base.agg(F.min("at__").alias("first__"))
+    base = base.where("module_name is not null").withColumn(PART, F.shiftright("at__", 33))
+    inside = Window.partitionBy("module_name", PART).orderBy("at__")
     rows = base.withColumn("prev__", F.lag(F.struct("version_num_value")).over(inside))
-    state = base.groupBy("module_name", PART).agg(F.max_by(F.struct("version_num_value"), "o__").alias("last__"))
+    state = base.groupBy("module_name", PART).agg(F.max_by(F.struct("version_num_value"), "at__").alias("last__"))
     by_part = Window.partitionBy("module_name").orderBy(PART)  # one row per stretch
     carried = state.select("module_name", PART, F.lag("last__").over(by_part).alias("before__"))
-    rows = rows.join(carried, ["module_name", PART])
+    rows = rows.join(carried, ["module_name", PART]).join(first)
     prev = F.coalesce("prev__", "before__")["version_num_value"]
-    # the very first row of the input: the first by (module, date, tie)
-    first = base.groupBy("module_name").agg(F.min("o__").alias("o__")).orderBy("module_name").limit(1)
-    rows = rows.join(first.withColumn("skip__", F.lit(True)), ["module_name", "o__"], "left")
     ok = (
-        F.col("skip__").isNull()
+        (F.col("at__") > F.col("first__"))
         & (F.col("module_name") != "")
         & (F.dayofmonth("date") <= 28)
         & (F.col("file_type") != "xml")
@@ -75,8 +73,7 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
     good = rows.where(ok).select(
         "module_name",
         F.floor((F.dayofmonth("date") - 1) / 7 + 1).cast("int").alias("week_num"),
-        "o__",
-        PART,
+        "at__",
         F.when(v > prev, 1).otherwise(0).alias("up"),
         F.when(v == prev, 1).otherwise(0).alias("stuck"),
         F.when(low.contains("release"), 1).otherwise(0).alias("rel"),
@@ -84,27 +81,26 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
     )
     weeks = good.groupBy("module_name", "week_num").agg(
         # the opening row does not count as up or repeat
-        (F.sum("up") - F.min_by("up", "o__")).alias("versioning_up_count"),
-        (F.sum("stuck") - F.min_by("stuck", "o__")).alias("versioning_stuck_count"),
+        (F.sum("up") - F.min_by("up", "at__")).alias("versioning_up_count"),
+        (F.sum("stuck") - F.min_by("stuck", "at__")).alias("versioning_stuck_count"),
         F.sum("rel").alias("is_release"),
         F.sum("snap").alias("is_snapshot"),
-        F.max(F.struct("o__", PART)).alias("upto__"),
+        F.max("at__").alias("end__"),
     )
     # files seen by the week's last row: whole stretches before its own by their totals, and
     # the files that begin in its own up to it (a module has four weeks)
-    debut = base.groupBy("module_name", "file_name").agg(F.min(F.struct("o__", PART)).alias("first__"))
-    debut = debut.select("module_name", F.col(f"first__.{PART}").alias(PART), F.col("first__.o__").alias("o__"))
-    ends = weeks.select("module_name", "week_num", F.col("upto__.o__").alias("end__"), F.col(f"upto__.{PART}").alias(PART))
+    debut = base.groupBy("module_name", "file_name").agg(F.min("at__").alias("at__")).withColumn(PART, F.shiftright("at__", 33))
+    ends = weeks.select("module_name", "week_num", "end__", F.shiftright("end__", 33).alias(PART))
     begun = debut.groupBy("module_name", F.col(PART).alias("early__")).agg(F.count(F.lit(1)).alias("n"))
     before = ends.join(begun, "module_name").where(F.col("early__") < F.col(PART)).select("module_name", "week_num", "n")
     own = (
         ends.join(debut, ["module_name", PART])
-        .where(F.col("o__") <= F.col("end__"))
+        .where(F.col("at__") <= F.col("end__"))
         .groupBy("module_name", "week_num")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     files = before.unionByName(own).groupBy("module_name", "week_num").agg(F.sum("n").alias("files_per_module"))
-    return weeks.drop("upto__").join(files, ["module_name", "week_num"], "left").withColumn(
+    return weeks.drop("end__").join(files, ["module_name", "week_num"], "left").withColumn(
         "files_per_module", F.coalesce("files_per_module", F.lit(0))
     )
 
