@@ -410,3 +410,15 @@ def test_very_long_runs_are_encoded(text):
     path = P.path("byte_bpe_50k.tiktoken")
     ids = token_counts.ids_of(text, path, P.PATTERN)
     assert token_counts.encoder(path, P.PATTERN).decode(ids) == text
+
+
+def test_fixity_on_measured_records(spark):
+    """Digests taken before records are placed give the audit of the bodies, with nulls, repeats and no rows."""
+    rows = [(a, i, None if i % 9 == 0 else f"{a}-{i % 4}" * (i % 5)) for a in range(2) for i in range(60)]
+    df = spark.createDataFrame(rows, "archive long, i long, record string")
+    bodies = fixity.leaves(fixity.place_records(df, "archive", "i", "record"))
+    narrow = fixity.place_records(fixity.measured(df, "archive", "i", "record"), "archive", "i").select("archive", "offset", "length", "digest")
+    assert sorted(map(tuple, bodies.collect())) == sorted(map(tuple, narrow.collect()))
+    assert fixity.audit(bodies, narrow, 64, 3).count() == 0
+    none = fixity.measured(df.limit(0), "archive", "i", "record")
+    assert fixity.place_records(none, "archive", "i").count() == 0

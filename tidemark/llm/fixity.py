@@ -30,11 +30,18 @@ def warc_record(record_id: Column, uri: Column, payload: Column) -> Column:
     )
 
 
-def place_records(records: DataFrame, archive: str, order: str, record: str) -> DataFrame:
+def measured(records: DataFrame, archive: str, order: str, record: str) -> DataFrame:
+    """(archive, order, length, digest) of each record: what moves in place of the bodies."""
+    body = F.coalesce(F.col(record), F.lit(""))
+    return records.select(F.col(archive).alias("archive"), order, F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("digest"))
+
+
+def place_records(records: DataFrame, archive: str, order: str, record: str | None = None) -> DataFrame:
     """Add `offset` and `length`: records stand one after another in their archive, whose
-    number of rows is bounded by how archives are cut."""
+    number of rows is bounded by how archives are cut. Rows that have their `length` already (see
+    `measured`) need no `record`, and no body goes through the window."""
     past = Window.partitionBy(archive).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    sized = records.withColumn("length", F.octet_length(record).cast("long"))
+    sized = records if record is None else records.withColumn("length", F.octet_length(F.coalesce(F.col(record), F.lit(""))).cast("long"))
     return sized.withColumn("offset", F.coalesce(F.sum("length").over(past), F.lit(0)).cast("long"))
 
 

@@ -144,11 +144,13 @@ def op7(spark, path):
     """All pages as WARC records in archives of 4,096; a second replica has lost some records
     (page_id % 211 = 5) and some bytes of others (page_id % 97 = 13); the audit says which."""
     p = table(spark, path, "pages").select("page_id", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).alias("archive"), fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
-    first = fixity.place_records(p, "archive", "page_id", "record")
     rotten = F.expr("CASE WHEN page_id % 97 = 13 THEN concat(substr(record, 1, length(record) - 5), '~', substr(record, -4, 4)) ELSE record END")
-    second = first.where("page_id % 211 != 5").withColumn("record", rotten)
-    own = Scratch(spark).keep(first.select("page_id", "archive", "offset", "length", F.sha2("record", 256).alias("digest")))
-    bad = fixity.audit(own.drop("page_id"), fixity.leaves(second))
+    # lengths and digests of both replicas before anything moves
+    both = p.select("page_id", "archive", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), F.sha2(rotten, 256).alias("rotten"))
+    placed = Scratch(spark).keep(fixity.place_records(both, "archive", "page_id"))
+    own = placed.drop("rotten")
+    second = placed.where("page_id % 211 != 5").select("archive", "offset", "length", F.col("rotten").alias("digest"))
+    bad = fixity.audit(own.drop("page_id"), second)
     out = own.join(bad, ["archive", "offset"], "left")
     return out.select("page_id", "archive", "offset", "length", "digest", F.coalesce("status", F.lit("same")).alias("status"))
 
