@@ -45,7 +45,8 @@ def weekly_versions(df: DataFrame, tie: Sequence[str]) -> DataFrame:
     the very first, has no module, lies after day 28 or is xml; it still is the row
     the next one is compared with. The first row of a module's week only opens it.
 
-    One scan: rows are range-partitioned by the input order and written with their number in
+    The input is read twice: for range bounds, and to be partitioned by them in the input order and
+    written with each row's number in
     it, so a module or a module's day of any size is spread over stretches. The row before is
     looked up inside the stretch, and for its first row from the last row of the module's stretch
     before; files are counted by their first row, whole stretches by their totals. Rows without
