@@ -1,10 +1,8 @@
-"""Clustering: k-means with elbow, Gaussian mixture, density clusters on a grid."""
+"""Clustering: k-means with elbow, Gaussian mixture; density clusters by a tree of boxes."""
 
 from __future__ import annotations
 
 import functools
-import itertools
-import math
 import operator
 from typing import Sequence
 
@@ -13,7 +11,7 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
+from .density import dbscan as dbscan
 from .models import CLUSTER_LABELS, knee
 
 
@@ -72,123 +70,3 @@ def gmm(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 1, max_i
     mixture = GaussianMixture(k=k, seed=seed, featuresCol="v__", predictionCol="group", probabilityCol="p__", maxIter=max_iter)
     model = mixture.fit(data.dropna(subset=list(features)))
     return model.transform(data).withColumn("group", F.when(_whole(features), F.col("group"))).drop("v__", "p__")
-
-
-def dbscan(df: DataFrame, features: Sequence[str], key: str, eps: float = 1.9, min_points: int = 5) -> DataFrame:
-    """Density clusters on up to three features; group = smallest key among the
-    cluster's core points, -1 for noise.
-
-    Equal points are one weighted point. Space is cut into cells of diagonal eps, so
-    all points of a cell are neighbours: a cell of `min_points` needs no pairs at
-    all, and clusters are components of CELLS, not of points. Pairs are only formed
-    between a light cell's few points and the cells around it, and, to link two
-    neighbouring cells, between sub-cell boxes: corners decide most links, single
-    points are compared only where boxes leave it open.
-    """
-    d = len(features)
-    if not 1 <= d <= 3:
-        raise ValueError("density clustering takes one to three features")
-    side = eps / math.sqrt(d)
-    x = [F.col(f"x{i}") for i in range(d)]
-    cell = F.array(*[F.floor(v / side).cast("long") for v in x])
-    points = cut_lineage(
-        df.where(" and ".join(f"`{f}` is not null" for f in features))
-        .select(key, *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-        .groupBy(*[f"x{i}" for i in range(d)])
-        .agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("k"))
-        .withColumn("cell", cell)
-    )
-    reach = math.ceil(math.sqrt(d))
-    around = [list(o) for o in itertools.product(range(-reach, reach + 1), repeat=d)]
-    shifts = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in around])
-
-    def near(cells: DataFrame, col: str) -> DataFrame:
-        """Each row once per cell within reach of its own."""
-        moved = F.transform(shifts, lambda s: F.zip_with(s, F.col(col), lambda a, b: a + b))
-        return cells.withColumn("other", F.explode(moved))
-
-    def dist2(a: str, b: str):
-        out = F.lit(0.0)
-        for i in range(d):
-            diff = F.col(f"{a}.x{i}") - F.col(f"{b}.x{i}")
-            out = out + diff * diff
-        return out
-
-    weight = points.groupBy("cell").agg(F.sum("w").alias("cell_w"))
-    marked = points.join(weight, "cell")
-    dense = marked.where(F.col("cell_w") >= min_points).drop("cell_w")
-    light = marked.where(F.col("cell_w") < min_points).drop("cell_w")
-    # light cells hold fewer than min_points points; they look around, never dense cells
-    seekers = near(light, "cell").alias("a")
-    counted = (
-        seekers.join(points.alias("b"), F.col("a.other") == F.col("b.cell"))
-        .where(dist2("a", "b") <= eps * eps)
-        .groupBy(*[F.col(f"a.x{i}").alias(f"x{i}") for i in range(d)])
-        .agg(F.sum("b.w").alias("n"))
-    )
-    core_light = light.join(counted, [f"x{i}" for i in range(d)]).where(F.col("n") >= min_points).drop("n")
-    core = cut_lineage(dense.unionByName(core_light))
-
-    # sub-cells of core points: their boxes bound every distance between two cells
-    parts = 4
-    fine = side / parts
-    boxes = core.groupBy("cell", F.array(*[F.floor(v / fine).cast("long") for v in x]).alias("sub")).agg(
-        *[F.min(v).alias(f"lo{i}") for i, v in enumerate(x)], *[F.max(v).alias(f"hi{i}") for i, v in enumerate(x)]
-    )
-    pairs = (
-        near(boxes, "cell").alias("a").join(boxes.alias("b"), F.col("a.other") == F.col("b.cell")).where("a.cell < b.cell")
-    )
-    least, most = F.lit(0.0), F.lit(0.0)
-    for i in range(d):
-        gap = F.greatest(F.lit(0.0), F.col(f"a.lo{i}") - F.col(f"b.hi{i}"), F.col(f"b.lo{i}") - F.col(f"a.hi{i}"))
-        span = F.greatest(F.col(f"a.hi{i}") - F.col(f"b.lo{i}"), F.col(f"b.hi{i}") - F.col(f"a.lo{i}"))
-        least, most = least + gap * gap, most + span * span
-    close = pairs.where(least <= eps * eps).select(
-        F.col("a.cell").alias("ca"), F.col("b.cell").alias("cb"), F.col("a.sub").alias("sa"), F.col("b.sub").alias("sb"), (most <= eps * eps).alias("sure")
-    )
-    close = cut_lineage(close)
-    linked = close.where("sure").select("ca", "cb").distinct()
-    open_ = close.where("not sure").join(linked, ["ca", "cb"], "left_anti")
-    subbed = core.withColumn("sub", F.array(*[F.floor(v / fine).cast("long") for v in x]))
-    a, b = subbed.alias("p"), subbed.alias("q")
-    found = (
-        open_.join(a, (F.col("ca") == F.col("p.cell")) & (F.col("sa") == F.col("p.sub")))
-        .join(b, (F.col("cb") == F.col("q.cell")) & (F.col("sb") == F.col("q.sub")))
-        .where(dist2("p", "q") <= eps * eps)
-        .select("ca", "cb")
-        .distinct()
-    )
-    half = cut_lineage(linked.unionByName(found))
-    edges = half.unionByName(half.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
-
-    labels = cut_lineage(core.groupBy("cell").agg(F.min("k").alias("label")))
-    while True:
-        # smallest label among neighbours, then the label that one's own cell got
-        best = edges.join(labels.select(F.col("cell").alias("cb"), "label"), "cb").groupBy(F.col("ca").alias("cell")).agg(F.min("label").alias("n"))
-        step = labels.join(best, "cell", "left").select("cell", "label", F.least("label", "n").alias("next"))
-        jump = step.groupBy(F.col("label").alias("next")).agg(F.min("next").alias("far"))
-        new = step.join(jump, "next", "left").select("cell", "label", F.least("next", "far").alias("next"))
-        new = cut_lineage(new)
-        moved = new.where("next < label").limit(1).count()
-        labels = new.select("cell", F.col("next").alias("label"))
-        if not moved:
-            break
-
-    grouped = core.join(labels, "cell")
-    border = (
-        near(light, "cell")
-        .alias("a")
-        .join(grouped.alias("b"), F.col("a.other") == F.col("b.cell"))
-        .where(dist2("a", "b") <= eps * eps)
-        .groupBy(*[F.col(f"a.x{i}").alias(f"x{i}") for i in range(d)])
-        .agg(F.min("b.label").alias("near__"))
-    )
-    named = points.join(grouped.select(*[f"x{i}" for i in range(d)], "label"), [f"x{i}" for i in range(d)], "left").join(
-        border, [f"x{i}" for i in range(d)], "left"
-    ).select(*[f"x{i}" for i in range(d)], F.coalesce("label", "near__", F.lit(-1)).alias("group"))
-    joined = df
-    for i, f in enumerate(features):
-        joined = joined.withColumn(f"x{i}", F.col(f).cast("double"))
-    return joined.join(named, [f"x{i}" for i in range(d)], "left").withColumn("group", F.coalesce("group", F.lit(-1))).drop(
-        *[f"x{i}" for i in range(d)]
-    )

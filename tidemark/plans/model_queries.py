@@ -113,7 +113,7 @@ def trial_bins(spark, path):
 
 
 def _plane(r):
-    """Two coordinates per order: money and time, on comparable scales."""
+    """Two coordinates per vector, on a scale where some points are close."""
     return r.table("embeddings").select(
         "vec_id",
         F.round(F.col("embedding")[0].cast("double") * 40, 3).alias("x"),
@@ -136,6 +136,23 @@ def dbscan(spark, path):
     return clusters.dbscan(_plane(Roles(spark, path)), ["x", "y"], "vec_id", eps=0.5, min_points=5).select("vec_id", "group")
 
 
+@query(
+    "dbscan_vectors",
+    """WITH RECURSIVE p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+       near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM p a JOIN p b ON list_sum([(t[1] - t[2]) * (t[1] - t[2]) FOR t IN list_zip(a.x, b.x)]) <= 1.17::DOUBLE * 1.17),
+       core AS (SELECT a AS id FROM near GROUP BY 1 HAVING count(*) >= 4),
+       link AS (SELECT a, b FROM near JOIN core c ON c.id = a JOIN core d ON d.id = b),
+       reach(src, dst) AS (SELECT a, b FROM link UNION SELECT r.src, l.b FROM reach r JOIN link l ON l.a = r.dst),
+       comp AS (SELECT src AS id, min(dst) AS label FROM reach GROUP BY 1),
+       edge AS (SELECT n.a AS id, min(label) AS label FROM near n JOIN comp c ON c.id = n.b GROUP BY 1)
+       SELECT p.vec_id, coalesce(c.label, e.label, -1) AS "group" FROM p LEFT JOIN comp c ON c.id = p.vec_id LEFT JOIN edge e ON e.id = p.vec_id""",
+)
+def dbscan_vectors(spark, path):
+    """Density clusters of whole vectors, in all their dimensions."""
+    v = Roles(spark, path).table("embeddings").select("vec_id", "embedding")
+    return clusters.dbscan(v, "embedding", "vec_id", eps=1.17, min_points=4).select("vec_id", "group")
+
+
 # ---------------------------------------------------------------- fitted models (rows and properties)
 
 @query("gbt_cv")
