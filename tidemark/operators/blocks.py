@@ -14,6 +14,7 @@ from ..functions.dates import day_due, day_floor, epoch_text_to_timestamp, month
 from ..functions.numeric import safe_ratio
 from . import asof
 from .asof import KEY, REF, Back, asof_aggregate, asof_running, with_buckets
+from .skew import hot_keys, spread_join
 
 YEAR_FROM_MONTH_START = Back(months=12, from_month_start=True)
 TWO_YEARS_FROM_MONTH_START = Back(months=24, from_month_start=True)
@@ -97,8 +98,8 @@ def issue_tracker_cases(
     pop: DataFrame, accounts: DataFrame, issues: DataFrame, unresolved: Sequence[str]
 ) -> DataFrame:
     """Issues filed under the account's name, at most 12 month boundaries back."""
-    fact = issues.join(accounts.select(KEY, "name"), issues["account_name"] == accounts["name"])
-    fact = fact.withColumn("created", day_floor(F.col("created")))
+    named = accounts.select(KEY, F.col("name").alias("account_name"))
+    fact = spread_join(issues, named, "account_name", ["created", "status"], "inner").withColumn("created", day_floor(F.col("created")))
     return asof_aggregate(
         pop,
         fact,
@@ -177,10 +178,10 @@ def page_views(
     pop: DataFrame, contacts: DataFrame, sessions_: DataFrame, views: DataFrame, patterns: Mapping[str, str], days: int = 90
 ) -> DataFrame:
     """Views by path pattern per contact over `days`, then the best contact's value."""
-    seen = views.join(sessions_.select("session_id", "device_id"), "session_id")
-    fact = seen.join(contacts.select(KEY, "contact_id", "device_id"), "device_id").withColumn(
-        "contact__", F.struct(KEY, "contact_id")
-    )
+    # the narrow tables first, so that the views meet both in one join
+    whose = spread_join(sessions_.select("session_id", "device_id"), contacts.select(KEY, "contact_id", "device_id"), "device_id", "session_id", "inner")
+    fact = spread_join(views, whose, "session_id", [c for c in ("path", "view_date", "pageviews") if c in views.columns], "inner")
+    fact = fact.withColumn("contact__", F.struct(KEY, "contact_id"))
     people = pop.join(contacts.select(KEY, "contact_id").distinct(), KEY).select(
         F.struct(KEY, "contact_id").alias("contact__"), REF
     )
@@ -202,12 +203,9 @@ def page_views(
 
 def site_visits(pop: DataFrame, contacts: DataFrame, visits: DataFrame, name: str = "count_visits") -> DataFrame:
     """Distinct visit times before the date; the time comes as epoch text."""
-    fact = (
-        visits.withColumn("visit", epoch_text_to_timestamp(F.col("time_stamp")))
-        .where("visit is not null")
-        .join(contacts.where(F.col(KEY).isNotNull()).select(KEY, "client_id"), "client_id")
-        .withColumn("visit", F.col("visit").cast("timestamp_ntz"))
-    )
+    whose = contacts.where(F.col(KEY).isNotNull()).select(KEY, "client_id")
+    timed = visits.withColumn("visit", epoch_text_to_timestamp(F.col("time_stamp"))).where("visit is not null")
+    fact = spread_join(timed, whose, "client_id", "time_stamp", "inner", hot_keys(visits, ["client_id"])).withColumn("visit", F.col("visit").cast("timestamp_ntz"))
     return asof_running(pop, fact, F.col("visit"), {name: asof.distinct()}, F.col("visit"))
 
 
@@ -466,7 +464,7 @@ def firmographics(
     People are reduced to one row per (account, e-mail) and per (account, id)
     before counting, so distinct counts need no per-condition expansion.
     """
-    rows = people.join(contact_map.select("person_id", KEY), "person_id")
+    rows = spread_join(people, contact_map.select("person_id", KEY), "person_id", "email", "inner")
     name, cond = any_role
     by_mail = rows.groupBy(KEY, "email").agg(
         *[F.max(src).alias(dst) for dst, src in tops.items()],

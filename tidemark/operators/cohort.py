@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import months_between_boundaries
 from ..functions.numeric import hash_fraction
 from .asof import KEY, REF, asof_running, largest
-from .skew import spread_join
+from .skew import hot_keys, spread_join
 
 
 def contract_history(
@@ -52,7 +52,7 @@ def contract_history(
         kept.withColumn("pure_upsell_flag", pure)
         .join(old, "product_id", "left")
         .join(new, "product_renewal_id", "left")
-        .transform(lambda d: spread_join(d, span.join(who, KEY, "left"), KEY, row_id))
+        .transform(lambda d: spread_join(d, span.join(who, KEY, "left"), KEY, row_id, hot=hot_keys(kept, [KEY])))
         .drop("product_id", "product_renewal_id", "net_new_arr", "event_type", "isclosed", "iswon")
     )
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import numeric as num
 from ..functions.text import activity_name, phone_status
+from ..session import cut_lineage
 from . import prep
+from .order import ranks, same
 
 # fixed values: technology names as they occur in usage columns
 TECHNOLOGIES = (
@@ -70,25 +73,60 @@ SCORING_REASONS = (
 )
 
 
-# more columns than this are an error, not cut off
-MAX_COLUMNS = 2000
+def counted_activities(df: DataFrame, min_count: int, allowed: Sequence[str] | None, reason: str = "reason") -> DataFrame:
+    """Activities (a, n) seen more than `min_count` times, 'score' left out."""
+    seen = df.select(activity_name(F.col(reason)).alias("a")).where("a <> 'score'")
+    if allowed is not None:
+        seen = seen.where(F.col("a").isin(list(allowed)))
+    return seen.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_count)
 
 
-def frequent_activities(df: DataFrame, min_count: int, allowed: Sequence[str] | None, reason: str = "reason") -> list[str]:
-    """Activity names seen more than `min_count` times, 'score' left out, most frequent first.
+def frequent_activities(df: DataFrame, min_count: int, allowed: Sequence[str], reason: str = "reason") -> list[str]:
+    """The named activities seen more than `min_count` times, most frequent first.
 
-    They become columns, so their number is what a frame can have; with a closed
-    list at most its length is brought to the driver.
+    They become columns, so the list has to be named. `activity_index` and `activity_vectors` take
+    activities of any number, in sparse form.
     """
-    name = activity_name(F.col(reason))
-    seen = df.select(name.alias("a")).where("a <> 'score'")
-    if allowed is not None:
-        seen = seen.where(F.col("a").isin(list(allowed)))
-    often = seen.groupBy("a").count().where(F.col("count") > min_count)
-    top = often.orderBy(F.desc("count"), "a").limit(MAX_COLUMNS + 1).collect()
-    if len(top) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} activities would become columns; pass a closed list or a higher count")
-    return [r["a"] for r in top]
+    if allowed is None:
+        raise ValueError("columns need a list of activities; activity_index and activity_vectors do without")
+    return [r["a"] for r in counted_activities(df, min_count, allowed, reason).orderBy(F.desc("n"), "a").collect()]
+
+
+def activity_index(df: DataFrame, min_count: int = 10, allowed: Sequence[str] | None = None, reason: str = "reason") -> DataFrame:
+    """Activities (activity, n, idx) seen more than `min_count` times, numbered from 0, most
+    frequent first. A table of any size; no name reaches the driver."""
+    return cut_lineage(ranks(counted_activities(df, min_count, allowed, reason), [], [F.desc("n"), F.asc("a")], "idx").select(F.col("a").alias("activity"), "n", "idx"))
+
+
+def activity_counts(df: DataFrame, keys: Sequence[str], index: DataFrame, reason: str = "reason") -> DataFrame:
+    """Long form: keys, idx, n, a row for each indexed activity of a key. Counts come
+    before the index is met, so a frequent activity moves once per key."""
+    name = free_column(keys, "activity__")
+    long = df.groupBy(*keys, activity_name(F.col(f"`{reason}`")).alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    return long.join(index.select(F.col("activity").alias(name), "idx"), name).select(*keys, "idx", "n")
+
+
+def activity_vectors(df: DataFrame, keys: Sequence[str], index: DataFrame, reason: str = "reason") -> DataFrame:
+    """One row per key: `indices` (rising) and `counts` of its activities by `index` (repeat
+    a training index on test data). A key without any has empty arrays; a null key is a key."""
+    entries = F.sort_array(F.collect_list(F.struct("idx", "n"))).alias("e")
+    held = activity_counts(df, keys, index, reason).groupBy(*keys).agg(entries)
+    everyone = df.select(*keys).distinct()
+    met = everyone.alias("l").join(held.alias("r"), same(keys, "l", "r"), "left").select(*[F.col(f"l.`{k}`") for k in keys], "e")
+    part = lambda f: F.coalesce(F.transform("e", lambda p: p[f]), F.array().cast("array<long>"))
+    return met.select(*[F.col(f"`{k}`") for k in keys], part("idx").alias("indices"), part("n").alias("counts"))
+
+
+def with_sparse_vector(df: DataFrame, size: int, name: str = "features") -> DataFrame:
+    """`indices` and `counts` as one sparse vector of `size` entries for Spark ML."""
+    vector = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
+    return df.withColumn(name, vector("indices", "counts"))
+
+
+def free_column(taken: Sequence[str], name: str) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
 def activity_pivot(

@@ -299,6 +299,21 @@ def activity_pivot_journeys(spark, path):
     )
 
 
+@query(
+    "activity_vectors",
+    f"""WITH a AS (SELECT user_id AS lead_id, {_REASON} AS reason FROM events JOIN customer ON user_id = c_custkey),
+        named AS (SELECT lead_id, lower(CASE WHEN reason LIKE 'Web.%' THEN 'view page' ELSE reason END) AS act, count(*) AS n FROM a GROUP BY 1, 2),
+        i AS (SELECT act, row_number() OVER (ORDER BY sum(n) DESC, act) - 1 AS idx FROM named WHERE act <> 'score' GROUP BY act HAVING sum(n) > 10)
+        SELECT lead_id, act AS activity, idx, n FROM named JOIN i USING (act)""",
+)
+def activity_vectors(spark, path):
+    """Activities of any number in sparse form, read back as (lead, activity, index, count)."""
+    df = _activity(Roles(spark, path)).select("lead_id", "reason")
+    index = leads.activity_index(df)
+    entries = leads.activity_vectors(df, ["lead_id"], index).select("lead_id", F.explode(F.arrays_zip("indices", "counts")).alias("e"))
+    return entries.select("lead_id", F.col("e.indices").alias("idx"), F.col("e.counts").alias("n")).join(index.select("activity", "idx"), "idx")
+
+
 @query(
     "latest_trial_per_lead",
     """SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events) WHERE rn = 1""",
