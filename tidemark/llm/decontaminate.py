@@ -55,6 +55,18 @@ def item_windows(benchmark: DataFrame, item: str, text: str, span: int, k: int)
     return cut.groupBy("words", "m").agg(F.collect_set("item").alias("items"))
 
 
+def met_apart(scratch: Scratch, source: DataFrame, at: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `at` whose shingle is wanted, where a large benchmark meets the documents in a
+    shuffle: only keys, positions and hashes move, and words come from the document, read once
+    more, for the positions that stay (a document's own, as a list)."""
+    stay = scratch.keep(at.select("k", "t", "p", "h").distinct().join(wanted, "h"))
+    by_text = stay.groupBy("k", "t").agg(F.collect_list(F.struct("p", "h")).alias("ph"))
+    same = source["k"].eqNullSafe(by_text["k"]) & (source["t"] == by_text["t"])
+    # repeated rows have the same key and text: one of them gives the words
+    words = source.join(by_text, same).select(source["k"], source["t"], "w", "ph").groupBy("k", "t").agg(F.first("w").alias("w"), F.first("ph").alias("ph"))
+    return words.select("k", "t", "w", F.inline("ph"))
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     span: int = SPAN, shingle: int = SHINGLE,
@@ -81,8 +93,8 @@ def contamination(
         at = source.where(F.size("w") >= k).select("k", "t", "w", F.posexplode("w").alias("p", "word"))
         at = at.where(F.col("p") + k <= F.size("w")).withColumn("h", shingle_hash(F.col("w"), F.col("p"), k))
         out = ["k", "t", "p", "h", F.size("w").alias("n"), back.alias("from"), around]
-        # a small benchmark is sent to the documents; a large one meets them in a shuffle
-        got = at.join(F.broadcast(wanted), "h").select(*out) if few else at.select(*out).join(wanted, "h")
+        # a small benchmark is sent to the documents
+        got = at.join(F.broadcast(wanted), "h").select(*out) if few else met_apart(scratch, source, at, wanted).select(*out)
         hits = got if hits is None else hits.unionByName(got)
     hits = scratch.keep(hits)
 
