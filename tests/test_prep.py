@@ -97,6 +97,10 @@ def test_multiplicity_with_nulls_and_a_hot_point(spark):
     df = spark.createDataFrame([(1, None)] * 3 + [(2, 5)] * 400, "x int, y int")
     got = {r["point_size"]: r["count"] for r in prep.multiplicity(df, "x", "y").groupBy("point_size").count().collect()}
     assert got == {6: 3, 800: 400}
+    tall = spark.range(30000).select(F.when(F.col("id") % 3 < 2, 1.5).alias("x"), F.lit(-0.0).alias("y"), "id")
+    out = prep.multiplicity(tall, "x", "y", 1)
+    assert out.columns == ["x", "y", "id", "point_size"]
+    assert {(r["x"], r["point_size"]): r["count"] for r in out.groupBy("x", "point_size").count().collect()} == {(1.5, 20000): 20000, (None, 10000): 10000}
 
 
 def test_activity_pivot_threshold_and_closed_list(spark):

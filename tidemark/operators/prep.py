@@ -12,6 +12,7 @@ from pyspark.sql.types import NumericType
 from ..functions import numeric as num
 from ..session import cut_lineage
 from .order import ranks
+from .skew import spread_join
 
 LAGS = ("", "__q1", "__q2", "__m1", "__m2")
 MONTHLY = ("__m2", "__m1", "")
@@ -262,8 +263,10 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], score: str | None = None
 
 
 def multiplicity(df: DataFrame, x: str, y: str, scale: int = 2, name: str = "point_size") -> DataFrame:
-    """scale x number of rows sharing (x, y): grouped first, so a hot point is one row."""
-    n = df.groupBy(x, y).agg((F.count(F.lit(1)) * scale).alias(name))
-    n = n.withColumnRenamed(x, "x__").withColumnRenamed(y, "y__")
-    same = df[x].eqNullSafe(n["x__"]) & df[y].eqNullSafe(n["y__"])
-    return df.join(n, same).drop("x__", "y__")
+    """scale x number of rows sharing (x, y): grouped first, and the rows of a hot point are spread.
+
+    A null is a coordinate like others (structs with nulls in the same places are equal)."""
+    at = F.struct(F.col(f"`{x}`"), F.col(f"`{y}`"))
+    n = df.groupBy(at.alias("at__")).agg((F.count(F.lit(1)) * scale).alias(name))
+    by = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return spread_join(df.withColumn("at__", at), n, "at__", by, "inner").drop("at__")
