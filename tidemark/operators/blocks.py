@@ -178,8 +178,9 @@ def page_views(
     pop: DataFrame, contacts: DataFrame, sessions_: DataFrame, views: DataFrame, patterns: Mapping[str, str], days: int = 90
 ) -> DataFrame:
     """Views by path pattern per contact over `days`, then the best contact's value."""
-    # the narrow tables first, so that the views meet both in one join
-    whose = spread_join(sessions_.select("session_id", "device_id"), contacts.select(KEY, "contact_id", "device_id"), "device_id", "session_id", "inner")
+    # the narrow tables first, so that the views meet both in one join; adaptive execution splits a
+    # busy device here, as no grouping by device follows
+    whose = sessions_.select("session_id", "device_id").join(contacts.select(KEY, "contact_id", "device_id"), "device_id")
     fact = spread_join(views, whose, "session_id", [c for c in ("path", "view_date", "pageviews") if c in views.columns], "inner")
     fact = fact.withColumn("contact__", F.struct(KEY, "contact_id"))
     people = pop.join(contacts.select(KEY, "contact_id").distinct(), KEY).select(
