@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -141,3 +142,29 @@ def test_checked_relations_fail_on_scores_that_say_nothing(spark):
     df = spark.range(400).select((F.col("id") % 4 == 0).alias("yes"), F.lit(0.3).alias("flat"), (F.xxhash64("id") % 1000 / 1000.0).alias("loose"), F.when(F.col("id") % 4 == 0, 0.9).otherwise(0.1).alias("good"))
     row = df.agg(*[apart(F.col(c), F.col("yes"), 0.5).alias(c) for c in ("flat", "loose", "good")], within(F.col("good")).alias("inside"), within(F.when(F.col("yes"), F.col("good"))).alias("gaps")).first()
     assert (row["flat"], row["loose"], row["good"], row["inside"], row["gaps"]) == (False, False, True, True, False)
+
+
+def test_class_weights_leave_rows_where_they_are(spark):
+    """A join by the label would move each class to one task."""
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(4000).repartition(8, "id").select("id", F.when(F.col("id") % 9 > 0, (F.col("id") % 2).cast("int")).alias("y"))
+        got = models.class_weights(df, "y").groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(got) == 8 and sum(r["n"] for r in got) == 4000 and max(r["n"] for r in got) < 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_hash_rank_writes_nothing_and_ranks_each_label_by_hash(spark, monkeypatch):
+    from tidemark.operators import order
+
+    monkeypatch.setattr(order, "cut_lineage", lambda *a, **k: pytest.fail("written"))
+    rows = [(i, None if i % 5 == 0 else i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, y int").repartition(7)
+    got = {r["id"]: r["r"] for r in models.hash_rank(df, ["y"], ["id"], 4, "r").collect()}
+    want = {}
+    for y in (None, 0, 1):
+        ids = sorted((i for i, v in rows if v == y), key=lambda i: hashlib.sha1(f"4|{i}".encode()).hexdigest())
+        want |= {i: at for at, i in enumerate(ids)}
+    assert got == want
