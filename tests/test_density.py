@@ -82,3 +82,24 @@ def test_dense_region_is_settled_by_boxes(spark):
     sure, left = density._node_pairs(density._nodes(tree, 2), tree, 0.01)
     leaves = tree.count()
     assert 0 < left.count() < leaves * leaves / 8
+
+
+def test_points_travel_once_per_pair_of_blocks(spark, monkeypatch):
+    """Not once per pair of leaves: with two blocks a leaf is sent to two pairs of blocks at most."""
+    points = clouds(16, 5)
+    monkeypatch.setattr(density, "BLOCKS", 2)
+    sent, pairs = [], []
+    kernel = density._kernel
+
+    def spied(p, leaves, columns, work, schema, fold=None):
+        def counting(r):
+            yield from work(r)
+
+        pairs.append(p.count())
+        sent.append(p.select("block_a", "block_b", F.explode(F.array("a", "b")).alias("path")).distinct().count() / leaves.count())
+        return kernel(p, leaves, columns, counting, schema, fold)
+
+    monkeypatch.setattr(density, "_kernel", spied)
+    got = density.dbscan(frame(spark, points), "x", "k", 0.9, 5, leaf=4, part_bytes=10**6)
+    assert {r["k"]: r["group"] for r in got.collect()} == brute(points, 0.9, 5)
+    assert len(sent) == 3 and max(sent) <= 2 and min(pairs) > 100

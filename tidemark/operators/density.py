@@ -10,7 +10,9 @@ further apart than eps (the pair is dropped), or wholly within eps (all points o
 neighbours of all points of the other, with nothing opened); only the others are replaced
 by their children, and only pairs of leaves that stay open are compared point by point.
 A region denser than eps is thus settled by its boxes. In many dimensions boxes tell less, and
-the leaf pairs that stay open approach the square of the leaves, as with any exact method.
+the leaf pairs that stay open approach the square of the leaves, as with any exact method. The
+points of a leaf do not travel with each of its pairs: leaves near each other in the tree form a block,
+and a pair of blocks gets each of its leaves once, with the list of the pairs among them.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ from ..session import cut_lineage
 LEAF = 64
 PART_BYTES = 1 << 25
 FAN = 16
+#: Blocks of leaves: as many as keep a cluster busy with their pairs, more where a block would pass this many points.
+BLOCKS = 16
+BLOCK_POINTS = 1 << 16
+#: Results of a pair of blocks are folded whenever so many rows have come together.
+FOLD_ROWS = 1 << 18
 
 
 def dbscan(
@@ -56,7 +63,7 @@ def dbscan(
     both = sure.select(F.col("a").alias("path"), F.col("b").alias("of")).unionByName(sure.where("a <> b").select(F.col("b").alias("path"), F.col("a").alias("of")))
     both = cut_lineage(both)
     whole_nodes = both.join(nodes.select(F.col("path").alias("of"), "w"), "of").groupBy("path").agg(F.sum("w").alias("v"))
-    counted = _kernel(pairs, leaves, ["xs", "ws"], _counts(d, eps * eps), "path string, i int, v long").groupBy("path", "i").agg(F.sum("v").alias("v"))
+    counted = _kernel(pairs, leaves, ["xs", "ws"], _counts(d, eps * eps), "path string, i int, v long", "sum").groupBy("path", "i").agg(F.sum("v").alias("v"))
     found = _per_leaf(leaves, counted, _pushed(leaves, whole_nodes, F.sum("v")), lambda one, all_: F.coalesce(one, F.lit(0)) + F.coalesce(all_, F.lit(0)))
     leaves = cut_lineage(found.withColumn("core", F.transform("vs", lambda v: v >= min_points)).drop("vs"))
 
@@ -69,7 +76,7 @@ def dbscan(
     # border points: the smallest name among core neighbours
     least = _ancestors(leaves.select("path", F.array_min("labels").alias("label"))).groupBy("path").agg(F.min("label").alias("label"))
     offered = both.join(least.select(F.col("path").alias("of"), F.col("label").alias("v")), "of").groupBy("path").agg(F.min("v").alias("v"))
-    touched = _kernel(pairs, leaves, ["xs", "labels"], _border(d, eps * eps), "path string, i int, v long").groupBy("path", "i").agg(F.min("v").alias("v"))
+    touched = _kernel(pairs, leaves, ["xs", "labels"], _border(d, eps * eps), "path string, i int, v long", "min").groupBy("path", "i").agg(F.min("v").alias("v"))
     near = _per_leaf(leaves, touched, _pushed(leaves, offered, F.min("v")), lambda one, all_: F.least(one, all_))
     groups = near.select(F.explode(F.arrays_zip("ks", "labels", "vs")).alias("p")).select(F.col("p.ks").alias("k"), F.coalesce("p.labels", "p.vs").alias("g"))
     at = points.join(groups.where("g is not null"), "k").select(F.col("x").alias("x__"), F.col("g").alias("g__"))
@@ -163,28 +170,55 @@ def _node_pairs(nodes: DataFrame, leaves: DataFrame, limit: float) -> tuple[Data
         down = open_.join(kids.select(F.col("path").alias("a"), F.col("kid").alias("ka")), "a").join(kids.select(F.col("path").alias("b"), F.col("kid").alias("kb")), "b")
         at = down.where("a <> b or ka <= kb").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
     done = functools.reduce(DataFrame.unionByName, settled)
-    return done.where("sure").select("a", "b"), cut_lineage(done.where("not sure").select("a", "b"))
+    return done.where("sure").select("a", "b"), _in_blocks(done.where("not sure").select("a", "b"), leaves)
+
+
+def _in_blocks(pairs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Pairs of leaves with the blocks of both (block_a, block_b); a block is a stretch of the tree."""
+    held = leaves.agg(F.sum("n")).first()[0] or 0
+    many = max(BLOCKS, -(-held // BLOCK_POINTS))
+    block = cut_lineage(leaves.select("path").repartitionByRange(many, "path").select("path", F.spark_partition_id().alias("block")))
+    side = lambda s: block.select(F.col("path").alias(s), F.col("block").alias(f"block_{s}"))
+    return cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b"))
 
 
 # ---------------------------------------------------------------- points of leaf pairs
 
 
-def _kernel(pairs: DataFrame, leaves: DataFrame, columns: Sequence[str], work: Callable, schema: str) -> DataFrame:
-    """`work` on every open pair of leaves; it yields rows of `schema`."""
+def _kernel(pairs: DataFrame, leaves: DataFrame, columns: Sequence[str], work: Callable, schema: str, fold: str | None = None) -> DataFrame:
+    """`work` on every open pair of leaves; it yields rows of `schema`, whose last column is
+    folded inside a pair of blocks (`sum` or `min`; None: rows are only made distinct)."""
     names = [f.strip().split()[0] for f in schema.split(",")]
-    side = lambda s: leaves.select(F.col("path").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
-    given = pairs.join(side("a"), "a").join(side("b"), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                r = {c: batch.column(i)[row].as_py() for i, c in enumerate(batch.schema.names)}
-                parts = list(work(r))
-                if parts:
-                    cols = [np.concatenate(c) for c in zip(*parts)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.tolist() if c.dtype == object else c) for c in cols], names)
-
-    return given.mapInArrow(run, schema)
+    cell, at = ["block_a", "block_b"], ["at_a", "at_b"]
+    needed = pairs.select(*[F.col(c).alias(n) for c, n in zip(cell, at)], F.explode(F.array("a", "b")).alias("path")).distinct()
+    # each leaf is copied here to all its pairs of blocks: by a fixed number of tasks, however little comes in
+    needed = needed.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+    points = needed.join(leaves.select("path", *columns), "path")
+
+    def folded(parts: list[pa.Table]) -> list[pa.Table]:
+        if not parts:
+            return parts
+        by, of = (names[:-1], [(names[-1], fold)]) if fold else (names, [])
+        done = pa.concat_tables(parts).group_by(by).aggregate(of)
+        return [done.rename_columns([*[c for c in done.column_names if c in by], *names[len(by):]]).select(names)]
+
+    def run(pairs: pa.Table, points: pa.Table) -> pa.Table:
+        path = points["path"].to_pylist()
+        held = {c: dict(zip(path, points[c].to_pylist() if c == "xs" else map(np.array, points[c].to_pylist()))) for c in columns}
+        parts, rows = [], 0
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            r = {"a": a, "b": b} | {f"{c}_{s}": held[c][p] for c in columns for s, p in (("a", a), ("b", b))}
+            for cols in work(r):
+                parts.append(pa.table([pa.array(c.tolist() if c.dtype == object else c) for c in cols], names))
+                rows += len(cols[0])
+            if rows > FOLD_ROWS:
+                parts = folded(parts)
+                rows = 0
+        return folded(parts)[0] if parts else empty
+
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
+    empty = pa.table({n: pa.array([], kinds[f.strip().split()[1]]) for n, f in zip(names, schema.split(","))})
+    return pairs.select(*cell, "a", "b").groupBy(*cell).cogroup(points.groupBy(*at)).applyInArrow(run, schema)
 
 
 def _near(r: dict, d: int, limit: float) -> np.ndarray:
