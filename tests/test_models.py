@@ -168,3 +168,37 @@ def test_hash_rank_writes_nothing_and_ranks_each_label_by_hash(spark, monkeypatc
         ids = sorted((i for i, v in rows if v == y), key=lambda i: hashlib.sha1(f"4|{i}".encode()).hexdigest())
         want |= {i: at for at, i in enumerate(ids)}
     assert got == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 12, 97, 1000])
+def test_shadow_rounds_permute_all_places(n):
+    rng = random.Random(n)
+    for _ in range(20):
+        a, b = models._permutation(n, rng)
+        assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+
+
+def test_shadow_rounds_write_no_copies(spark, monkeypatch):
+    """Every row meets one other row's features per round; no round writes the table."""
+    from tidemark.operators import order
+
+    monkeypatch.setattr(order, "cut_lineage", lambda *a, **k: pytest.fail("written"))
+    df = spark.range(300).selectExpr("id", "cast(id % 2 as int) AS y", "cast(id % 2 as double) AS a", "cast(id % 7 as double) AS b")
+    got = {r["feature"]: r["hits"] for r in models.shadow_select(df, ["a", "b"], "y", ["id"], rounds=2, trees=3, depth=2).collect()}
+    assert got["a"] == 2
+
+
+def test_scoring_run_computes_its_matrix_once(spark, monkeypatch):
+    from tidemark.plans import flow_queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def one(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(200).selectExpr("id AS account_id", "date_add(DATE'2000-01-01', cast(id * 2 as int)) AS relevant_date", "cast(id % 2 as int) AS class", "cast(id % 2 as double) AS v")
+    kept = F.udf(one, "double").asNondeterministic()
+    monkeypatch.setattr(flow_queries, "model_frame", lambda r: rows.withColumn("x", kept("v")).drop("v"))
+    out = flow_queries.training_and_scoring_run(spark, "/nowhere").collect()
+    assert len(out) == 109 and seen.value == 200
