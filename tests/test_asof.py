@@ -210,3 +210,28 @@ def test_steps_of_a_hot_account_are_few(spark):
     per = out.groupBy("account_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n")).collect()
     assert max(r["rows"] for r in per) == 60
     assert next(r["n"] for r in per if r["account_id"] == 0) == sum(1 for i in range(0, 60_000, 3) if 39 <= i % 60)
+
+
+def test_usage_moves_facts_once_and_their_folds_once(spark):
+    """Facts go to (account, month), folds to (account, date); no grouping in between moves them again."""
+    pop = spark.sql("SELECT * FROM VALUES (1, DATE'2020-03-15'), (1, DATE'2020-05-31'), (2, DATE'2020-03-15'), (CAST(NULL AS INT), DATE'2020-03-15'), (2, CAST(NULL AS DATE)) AS t(account_id, relevant_date)")
+    snaps = spark.range(400).selectExpr(
+        "if(id % 11 = 0, NULL, cast(id % 2 + 1 as int)) AS account_id", "id % 3 AS env",
+        "if(id % 13 = 0, NULL, date_add(DATE'2020-01-20', cast(id * 7 % 140 as int))) AS day", "if(id % 5 = 0, NULL, cast(id * 7 % 10 as double)) AS v",
+    )
+    v = F.col("v")
+    inner = {"c": asof.count(v > 3), "t": asof.total(v), "a": asof.mean(v), "hi": asof.largest(v), "lo": asof.smallest(v)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = asof.usage_block(pop, snaps, "env", "day", inner, n_env="n")
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
+        period = asof.period_bucket(F.col("day"), F.col("relevant_date"))
+        per_env = snaps.join(pop, "account_id").withColumn("period", period).where("period is not null").groupBy("account_id", "relevant_date", "period", "env")
+        per_env = per_env.agg(F.count(F.when(v > 3, 1)).alias("c"), F.sum("v").alias("t"), F.avg("v").alias("a"), F.max("v").alias("hi"), F.min("v").alias("lo"))
+        want = per_env.groupBy("account_id", "relevant_date", "period").agg(*[F.sum(n).alias(n) for n in inner], F.count(F.lit(1)).alias("n"))
+        r = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in df.select(want.columns).collect())
+        assert r(got) == r(want) and len(r(want)) == 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
