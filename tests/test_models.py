@@ -202,3 +202,24 @@ def test_scoring_run_computes_its_matrix_once(spark, monkeypatch):
     monkeypatch.setattr(flow_queries, "model_frame", lambda r: rows.withColumn("x", kept("v")).drop("v"))
     out = flow_queries.training_and_scoring_run(spark, "/nowhere").collect()
     assert len(out) == 109 and seen.value == 200
+
+
+def test_cluster_fit_computes_its_input_once_and_keeps_no_vectors(spark):
+    """Scales and all starts share the kept plain features; k-means keeps vectors in its own form."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def one(x):
+        seen.add(1)
+        return x
+
+    kept = F.udf(one, "double").asNondeterministic()
+    df = blobs(spark).where("k >= 5").select("k", kept("a").alias("a"), "b")
+    gaps = spark.createDataFrame([(1000, None, 0.0), (1001, float("nan"), 1.0)], "k long, a double, b double")
+    model = clusters.cluster_fit(df, ["a", "b"], k=2, starts=2)
+    assert seen.value == 295
+    plain = df.select("k", "b", F.col("a")).unionByName(gaps)
+    out = clusters.cluster_predict(plain, model)
+    assert out.where("group is null").count() == 2 and out.groupBy("group").count().count() == 3
+    with_gaps = clusters.cluster_fit(blobs(spark).where("k >= 5").select("a", "b").unionByName(gaps.drop("k")), ["a", "b"], k=2, starts=2)
+    centres = lambda m: [x for c in sorted(map(tuple, m.stages[-1].clusterCenters())) for x in c]
+    assert centres(with_gaps) == pytest.approx(centres(model))

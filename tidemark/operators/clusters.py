@@ -17,20 +17,25 @@ from .models import CLUSTER_LABELS, knee
 
 def cluster_fit(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 0, starts: int = 3, max_iter: int = 100) -> PipelineModel:
     """Standardise and k-means; the best of several starts by training cost. Rows with a
-    gap (null or NaN) are not learned from."""
+    gap (null or NaN) are not learned from.
+
+    The plain features are kept, computed once for the scales and all starts. The vectors are not:
+    k-means keeps what it is given uncached in its own form, so that a round does not decode every row again.
+    """
+    complete = df.select(*features).dropna().persist()
     prepared = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="raw__", handleInvalid="keep"),
             StandardScaler(inputCol="raw__", outputCol="scaled__", withMean=True, withStd=True),
         ]
-    ).fit(complete := df.dropna(subset=list(features)))
-    data = prepared.transform(complete).select("scaled__").persist()
+    ).fit(complete)
+    data = prepared.transform(complete).select("scaled__")
     best = None
     for s in range(starts):
         m = KMeans(k=k, seed=seed + s, featuresCol="scaled__", predictionCol="group", maxIter=max_iter).fit(data)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
-    data.unpersist()
+    complete.unpersist()
     return PipelineModel(stages=[*prepared.stages, best])
 
 
