@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import asof
-from tidemark.plans import cohort_queries
+from tidemark.plans import cohort_queries, flow_queries
 from tidemark.plans.roles import Roles
 from tidemark.session import handed_over
 
@@ -59,6 +59,12 @@ def test_lines_meet_their_orders_once(spark, tables):
     assert frame.count() == Roles(spark, tables).pop().count() and frame.where("n_windows > 0 and n_replys > 0").count() > 20
 
 
+def test_usage_features_read_the_written_lines(spark, tables):
+    df = flow_queries.usage_features(spark, tables)
+    assert not any("lineitem.parquet" in f for f in df.inputFiles())
+    assert df.count() == Roles(spark, tables).pop().count() and df.where("n_tech > 0").count() > 0
+
+
 def test_totals_and_distinct_counts_share_one_pass(spark):
     """Facts are read once; rows without a value still count as rows."""
     seen = spark.sparkContext.accumulator(0)
