@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,60 @@ def test_points_travel_once_per_pair_of_blocks(spark, monkeypatch):
     got = density.dbscan(frame(spark, points), "x", "k", 0.9, 5, leaf=4, part_bytes=10**6)
     assert {r["k"]: r["group"] for r in got.collect()} == brute(points, 0.9, 5)
     assert len(sent) == 3 and max(sent) <= 2 and min(pairs) > 100
+
+
+@pytest.mark.parametrize("d,scale,shift", [(16, 1.0, 0.0), (64, 1.0, 0.0), (64, 1e-25, 0.0), (64, 1e25, 0.0), (20, 0.25, 4096.0), (3, 1.0, 0.0)])
+def test_products_decide_as_exact_sums(d, scale, shift):
+    """On a coarse grid many pairs lie exactly at the limit, where a product's rounding must not decide."""
+    rng = np.random.default_rng(d)
+    a, b = (rng.integers(-2, 3, (n, d)) * scale + shift for n in (230, 190))
+    square = ((a[:, None] - b[None]) ** 2).sum(-1)
+    for limit in (np.median(square), np.quantile(square, 0.01), square.max() * 2, 0.0):
+        near = density._near(a, b, float(limit))
+        assert (near == density._exactly(a[:, None], b[None], float(limit))).all() and near.any() >= (limit > 0)
+    assert density._near(a[:0], b, 1.0).shape == (0, 190) and density._near(a, b[:0], 1.0).shape == (230, 0)
+
+
+def test_many_dimensions_make_few_pairs_of_leaves(spark, monkeypatch):
+    """5,000 vectors: a hundred leaves of 64 points would have been thousands of pairs that no box excludes."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for i in (0, 300):
+        x[i : i + 300] = x[i] + rng.normal(size=(300, 24)) * 0.02
+    square = np.zeros((5000, 5000))
+    for i in range(24):
+        square += (x[:, None, i] - x[None, :, i]) ** 2
+    near = square <= 0.6 * 0.6
+    core = np.flatnonzero(near.sum(1) >= 4)
+    want = np.where(np.isin(np.arange(5000), core), np.arange(5000), 5000)
+    while True:  # the smallest core key reachable over core points
+        least = np.where(near[np.ix_(core, core)], want[core][None], 5000).min(1)
+        if (least == want[core]).all():
+            break
+        want[core] = least
+    edge = np.where(near[:, core], want[core][None], 5000).min(1)
+    want = np.where(want < 5000, want, np.where(edge < 5000, edge, -1))
+    pairs, kernel = [], density._kernel
+    monkeypatch.setattr(density, "_kernel", lambda p, *rest: pairs.append(p.count()) or kernel(p, *rest))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "k long, x array<double>").repartition(4)
+    got = {r["k"]: r["group"] for r in density.dbscan(df, "x", "k", 0.6, 4).collect()}
+    assert got == dict(enumerate(want.tolist())) and len({*got.values()}) > 2 and -1 in got.values()
+    assert len(pairs) == 3 and max(pairs) <= 100
+
+
+def test_settled_points_are_not_compared_again(monkeypatch):
+    """16 leaves of one dense cloud: once a point has enough neighbours, or is joined, it is left alone."""
+    rng = np.random.default_rng(5)
+    leaves = {f"p{i:02d}": rng.normal(size=(100, 20)) * 0.1 for i in range(16)}
+    held = {"xs": {p: x.tobytes() for p, x in leaves.items()}, "ws": {p: np.ones(100, int) for p in leaves}, "core": {p: np.ones(100, bool) for p in leaves}}
+    held["ks"] = {p: np.arange(100) + 100 * i for i, p in enumerate(leaves)}
+    compared, near = [], density._near
+    monkeypatch.setattr(density, "_near", lambda a, b, limit: compared.append(len(a) * len(b)) or near(a, b, limit))
+    for work in (density._counts(20, 1.0, 5), density._links(20, 1.0)):
+        compared.clear()
+        state = {"held": held}
+        out = [c for a in leaves for b in leaves if a <= b for c in work({"a": a, "b": b, "state": state})]
+        out += work({"a": None, "b": None, "state": state})
+        assert 0 < sum(compared) < 1600 * 1600 / 2 / 4
+        assert sum(len(c[0]) for c in out) >= 1599

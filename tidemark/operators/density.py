@@ -12,7 +12,10 @@ by their children, and only pairs of leaves that stay open are compared point by
 A region denser than eps is thus settled by its boxes. In many dimensions boxes tell less, and
 the leaf pairs that stay open approach the square of the leaves, as with any exact method. The
 points of a leaf do not travel with each of its pairs: leaves near each other in the tree form a block,
-and a pair of blocks gets each of its leaves once, with the list of the pairs among them.
+and a pair of blocks gets each of its leaves once, with the list of the pairs among them. From many
+dimensions on leaves are larger, and distances are matrix products with a bound on their error: what the bound
+leaves open is added up exactly. A pair of blocks keeps what it has found: points with enough neighbours are
+not counted further, points already joined are not compared again.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut_lineage
 
 LEAF = 64
+#: Points of a leaf from so many dimensions on, where boxes exclude little and the pairs of leaves become many.
+MANY_DIMENSIONS, LARGE_LEAF = 16, 2048
 PART_BYTES = 1 << 25
 FAN = 16
 #: Blocks of leaves: as many as keep a cluster busy with their pairs, more where a block would pass this many points.
@@ -37,7 +42,7 @@ FOLD_ROWS = 1 << 18
 
 
 def dbscan(
-    df: DataFrame, features: Sequence[str] | str, key: str, eps: float = 1.9, min_points: int = 5, leaf: int = LEAF, part_bytes: int = PART_BYTES
+    df: DataFrame, features: Sequence[str] | str, key: str, eps: float = 1.9, min_points: int = 5, leaf: int | None = None, part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """Every row with its density cluster as `group`: the smallest key among the cluster's core
     points, -1 for noise.
@@ -45,7 +50,7 @@ def dbscan(
     `features` are number columns, or the name of one array column. A border point joins the
     reachable cluster of the smallest name. Rows with a null, NaN or infinite coordinate, or with
     an array shorter or longer than the longest, are noise and nobody's neighbours. `leaf` is the
-    number of points compared as one block, `part_bytes` what one task may hold of them.
+    number of points compared as one block (by the dimensions, if not given), `part_bytes` what one task may hold of them.
     """
     raw = F.col(f"`{features}`").cast("array<double>") if isinstance(features, str) else F.array(*[F.col(f"`{f}`").cast("double") for f in features])
     d = df.agg(F.max(F.size(raw))).first()[0] if isinstance(features, str) else len(features)
@@ -55,15 +60,16 @@ def dbscan(
     points = df.select(F.col(f"`{key}`").cast("long").alias("k"), F.when(whole, raw).alias("x")).where("x is not null")
     points = cut_lineage(points.groupBy("x").agg(F.count(F.lit(1)).alias("w"), F.min("k").alias("k")))
 
+    leaf = leaf or (LEAF if d < MANY_DIMENSIONS else LARGE_LEAF)
     leaves = _leaves(points, d, leaf, max(leaf, part_bytes // (8 * d)))
     nodes = _nodes(leaves, d)
     sure, pairs = _node_pairs(nodes, leaves, eps * eps)
 
-    # neighbours of each point, itself and its copies included
+    # neighbours of each point, itself and its copies included, as far as they matter
     both = sure.select(F.col("a").alias("path"), F.col("b").alias("of")).unionByName(sure.where("a <> b").select(F.col("b").alias("path"), F.col("a").alias("of")))
     both = cut_lineage(both)
     whole_nodes = both.join(nodes.select(F.col("path").alias("of"), "w"), "of").groupBy("path").agg(F.sum("w").alias("v"))
-    counted = _kernel(pairs, leaves, ["xs", "ws"], _counts(d, eps * eps), "path string, i int, v long", "sum").groupBy("path", "i").agg(F.sum("v").alias("v"))
+    counted = _kernel(pairs, leaves, ["xs", "ws"], _counts(d, eps * eps, min_points), "path string, i int, v long", "sum").groupBy("path", "i").agg(F.sum("v").alias("v"))
     found = _per_leaf(leaves, counted, _pushed(leaves, whole_nodes, F.sum("v")), lambda one, all_: F.coalesce(one, F.lit(0)) + F.coalesce(all_, F.lit(0)))
     leaves = cut_lineage(found.withColumn("core", F.transform("vs", lambda v: v >= min_points)).drop("vs"))
 
@@ -186,8 +192,9 @@ def _in_blocks(pairs: DataFrame, leaves: DataFrame) -> DataFrame:
 
 
 def _kernel(pairs: DataFrame, leaves: DataFrame, columns: Sequence[str], work: Callable, schema: str, fold: str | None = None) -> DataFrame:
-    """`work` on every open pair of leaves; it yields rows of `schema`, whose last column is
-    folded inside a pair of blocks (`sum` or `min`; None: rows are only made distinct)."""
+    """`work` on every open pair of leaves, then once without a pair; it yields rows of `schema`, whose last
+    column is folded inside a pair of blocks (`sum` or `min`; None: rows are only made distinct). Each call gets as
+    `state` one dict of the pair of blocks, with the columns of all its leaves as `held`."""
     names = [f.strip().split()[0] for f in schema.split(",")]
     cell, at = ["block_a", "block_b"], ["at_a", "at_b"]
     needed = pairs.select(*[F.col(c).alias(n) for c, n in zip(cell, at)], F.explode(F.array("a", "b")).alias("path")).distinct()
@@ -205,10 +212,9 @@ def _kernel(pairs: DataFrame, leaves: DataFrame, columns: Sequence[str], work: C
     def run(pairs: pa.Table, points: pa.Table) -> pa.Table:
         path = points["path"].to_pylist()
         held = {c: dict(zip(path, points[c].to_pylist() if c == "xs" else map(np.array, points[c].to_pylist()))) for c in columns}
-        parts, rows = [], 0
-        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-            r = {"a": a, "b": b} | {f"{c}_{s}": held[c][p] for c in columns for s, p in (("a", a), ("b", b))}
-            for cols in work(r):
+        parts, rows, state = [], 0, {"held": held}
+        for a, b in [*zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()), (None, None)]:
+            for cols in work({"a": a, "b": b, "state": state}):
                 parts.append(pa.table([pa.array(c.tolist() if c.dtype == object else c) for c in cols], names))
                 rows += len(cols[0])
             if rows > FOLD_ROWS:
@@ -221,68 +227,167 @@ def _kernel(pairs: DataFrame, leaves: DataFrame, columns: Sequence[str], work: C
     return pairs.select(*cell, "a", "b").groupBy(*cell).cogroup(points.groupBy(*at)).applyInArrow(run, schema)
 
 
-def _near(r: dict, d: int, limit: float) -> np.ndarray:
-    """Which points of the first leaf are neighbours of which of the second. Squares are added
-    up a dimension at a time, as for boxes, so that rounding never contradicts a box."""
-    a, b = (np.frombuffer(r[c], np.float64).reshape(-1, d) for c in ("xs_a", "xs_b"))
-    total = np.zeros((len(a), len(b)))
-    for i in range(d):
-        gap = a[:, i, None] - b[None, :, i]
+def _points(state: dict, path: str, d: int) -> np.ndarray:
+    return np.frombuffer(state["held"]["xs"][path], np.float64).reshape(-1, d)
+
+
+def _exactly(a: np.ndarray, b: np.ndarray, limit: float) -> np.ndarray:
+    """Squares are added up a dimension at a time, as for boxes, so that rounding never contradicts a box."""
+    total = np.zeros(np.broadcast_shapes(a.shape[:-1], b.shape[:-1]))
+    for i in range(a.shape[-1]):
+        gap = a[..., i] - b[..., i]
         total += gap * gap
     return total <= limit
 
 
+def _near(a: np.ndarray, b: np.ndarray, limit: float) -> np.ndarray:
+    """Which of the first points are neighbours of which of the second.
+
+    In many dimensions |p|^2 + |q|^2 - 2pq comes from one matrix product, in single precision and, where that tells
+    too little, in double; pairs closer to the limit than the product's error can be are added up exactly.
+    """
+    d = a.shape[1]
+    if d >= MANY_DIMENSIONS and len(a) and len(b):
+        with np.errstate(over="ignore", invalid="ignore"):
+            centre = (a.mean(0) + b.mean(0)) / 2
+            p, q = a - centre, b - centre
+            pp, qq = (p * p).sum(1), (q * q).sum(1)
+            most = pp.max() + qq.max()
+            for kind in (np.float32, np.float64):
+                slack = 2 * (d + 16) * float(np.finfo(kind).eps) * most + d * float(np.finfo(kind).tiny)
+                if not most < float(np.finfo(kind).max) / 16 or limit > float(np.finfo(kind).max) / 16:
+                    continue
+                left, right = np.ones((len(a), d + 2), kind), np.ones((len(b), d + 2), kind)
+                left[:, :d], left[:, d], right[:, :d], right[:, d + 1] = p, pp, -2 * q, qq
+                square = left @ right.T
+                near, wide = square <= kind(limit - slack), square <= kind(limit + slack)
+                if np.count_nonzero(wide) - np.count_nonzero(near) <= max(1024, square.size // 16):
+                    i, j = np.nonzero(wide & ~near)
+                    near[i, j] = _exactly(a[i], b[j], limit)
+                    return near
+    rows = max(1, (1 << 22) // max(1, len(b)))
+    return np.concatenate([_exactly(a[i : i + rows, None], b[None], limit) for i in range(0, len(a), rows)] or [np.zeros((0, len(b)), bool)])
+
+
 def _hits(path: str, values: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(kept)
     return np.full(len(at), path, object), at.astype(np.int32), values[at].astype(np.int64)
 
 
-def _counts(d: int, limit: float) -> Callable:
+def _counts(d: int, limit: float, enough: int) -> Callable:
+    """Neighbours of each point inside the pair of blocks; a point that has `enough` may get fewer than all."""
+
+    def weighed(near: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return np.count_nonzero(near, axis=1) if (w == 1).all() else near @ w
+
     def work(r: dict):
-        near = _near(r, d, limit)
-        for path, n in [(r["a"], near @ np.array(r["ws_b"]))] + ([(r["b"], np.array(r["ws_a"]) @ near)] if r["a"] != r["b"] else []):
-            if n.any():
-                yield _hits(path, n, n > 0)
+        a, b, state = r["a"], r["b"], r["state"]
+        w = state["held"]["ws"]
+        seen = state.setdefault("seen", {p: np.zeros(len(v), np.int64) for p, v in w.items()})
+        if a is None:
+            yield from (_hits(p, n, n > 0) for p, n in seen.items() if n.any())
+            return
+        want = {p: seen[p] < enough for p in (a, b)}
+        if not want[a].any() and not want[b].any():
+            return
+        xa, xb, few = _points(state, a, d), _points(state, b, d), want[a]
+        near = _near(xa[few], xb, limit)
+        seen[a][few] += weighed(near, w[b])
+        if a != b:
+            seen[b] += weighed(near.T, w[a][few])
+            seen[b][want[b]] += weighed(_near(xa[~few], xb[want[b]], limit).T, w[a][~few])
 
     return work
 
 
 def _border(d: int, limit: float) -> Callable:
+    """The smallest label that each point without one reaches inside the pair of blocks."""
     far = np.iinfo(np.int64).max
 
     def work(r: dict):
-        known = {s: np.array([far if v is None else v for v in r[f"labels_{s}"]], np.int64) for s in "ab"}
-        sides = [("a", "b", False)] + ([("b", "a", True)] if r["a"] != r["b"] else [])
-        sides = [s for s in sides if (known[s[0]] == far).any() and (known[s[1]] != far).any()]
-        near = _near(r, d, limit) if sides else None
-        for one, other, turned in sides:
-            best = np.where(near.T if turned else near, known[other][None, :], far).min(1)
-            kept = (known[one] == far) & (best != far)
-            if kept.any():
-                yield _hits(r[one], best, kept)
+        a, b, state = r["a"], r["b"], r["state"]
+        if "known" not in state:
+            state["known"] = {p: np.array([far if v is None else v for v in x], np.int64) for p, x in state["held"]["labels"].items()}
+            state["best"] = {p: np.full(len(x), far) for p, x in state["known"].items()}
+        known, best = state["known"], state["best"]
+        if a is None:
+            yield from (_hits(p, v, v != far) for p, v in best.items() if (v != far).any())
+            return
+        for one, other in [(a, b)] + ([(b, a)] if a != b else []):
+            # those that could find a smaller label here than they have
+            core = known[other] != far
+            asks = (known[one] == far) & (best[one] > known[other].min())
+            if asks.any() and core.any():
+                near = _near(_points(state, one, d)[asks], _points(state, other, d)[core], limit)
+                best[one][asks] = np.minimum(best[one][asks], np.where(near, known[other][core][None, :], far).min(1))
 
     return work
 
 
+def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
+    root = parent[at]
+    while (parent[root] != root).any():
+        root = parent[root]
+    parent[at] = root
+    return root
+
+
+def _join(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Puts the groups of u[i] and v[i] together; a root is never above its members."""
+    while True:
+        ru, rv = _roots(parent, u), _roots(parent, v)
+        apart = ru != rv
+        if not apart.any():
+            return
+        np.minimum.at(parent, np.maximum(ru, rv)[apart], np.minimum(ru, rv)[apart])
+
+
 def _links(d: int, limit: float) -> Callable:
-    """Edges that join the core points of a pair of leaves as their neighbourhoods do: each
-    point with the smallest key it reaches inside the pair."""
+    """Edges that join the core points of a pair of blocks as their neighbourhoods do: each
+    point with the smallest key of its group."""
+
+    def start(state: dict) -> None:
+        held = state["held"]
+        core = {p: np.flatnonzero(np.array(c, bool)) for p, c in held["core"].items()}
+        state["keys"] = keys = np.concatenate([held["ks"][p][at] for p, at in core.items()]).astype(np.int64)
+        ends = np.cumsum([len(at) for at in core.values()])
+        state["core"], state["at"] = core, {p: np.arange(e - len(at), e) for e, (p, at) in zip(ends, core.items())}
+        state["parent"] = np.arange(len(keys))
+
+    def meet(state: dict, u: np.ndarray, v: np.ndarray, xu: np.ndarray, xv: np.ndarray) -> None:
+        if not len(u) or not len(v):
+            return
+        parent, near = state["parent"], _near(xu, xv, limit)
+        while True:
+            near &= _roots(parent, u)[:, None] != _roots(parent, v)[None, :]
+            rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            if not len(rows):
+                return
+            _join(parent, np.concatenate([u[rows], u[near[:, columns].argmax(0)]]), np.concatenate([v[near[rows].argmax(1)], v[columns]]))
 
     def work(r: dict):
-        core = {s: np.array(r[f"core_{s}"], bool) for s in "ab"}
-        if not core["a"].any() or not core["b"].any():
+        a, b, state = r["a"], r["b"], r["state"]
+        if "parent" not in state:
+            start(state)
+        parent, keys = state["parent"], state["keys"]
+        if a is None:
+            root = _roots(parent, np.arange(len(keys)))
+            least = keys.copy()
+            np.minimum.at(least, root, keys)
+            if (least[root] != keys).any():
+                yield keys[least[root] != keys], least[root][least[root] != keys]
+            return
+        u, v = state["at"][a], state["at"][b]
+        if not len(u) or not len(v):
             return
-        near = _near(r, d, limit)[np.ix_(core["a"], core["b"])]
-        ka, kb = (np.array(r[f"ks_{s}"], np.int64)[core[s]] for s in "ab")
-        far = np.iinfo(np.int64).max
-        la, lb, before = ka.copy(), kb.copy(), None
-        while before is None or (la != before[0]).any() or (lb != before[1]).any():
-            before = la, lb
-            lb = np.minimum(lb, np.where(near, la[:, None], far).min(0))
-            la = np.minimum(la, np.where(near, lb[None, :], far).min(1))
-        src, dst = np.concatenate([ka, kb]), np.concatenate([la, lb])
-        if (src != dst).any():
-            yield src[src != dst], dst[src != dst]
+        xu, xv = _points(state, a, d)[state["core"][a]], _points(state, b, d)[state["core"][b]]
+        # pairs inside the largest group are joined already: only what lies outside it is compared
+        roots, many = np.unique(np.concatenate([_roots(parent, u), _roots(parent, v)]), return_counts=True)
+        largest = roots[many.argmax()]
+        out_u, out_v = parent[u] != largest, parent[v] != largest
+        meet(state, u[out_u], v, xu[out_u], xv)
+        if a != b:
+            meet(state, u[~out_u], v[out_v], xu[~out_u], xv[out_v])
 
     return work
 
